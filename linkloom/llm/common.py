@@ -48,9 +48,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes the rows to the shared checkpoint folder and reads them from there: they survive lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes the rows as Parquet to the shared checkpoint folder and reads them from there: they survive lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Deletes what ``cut`` wrote, when nothing will read it again."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("table-"):
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shared_file(spark: SparkSession, payload: bytes, name: str) -> str:

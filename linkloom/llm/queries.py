@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.common import table
 from linkloom.llm.license_scan import license_scan
+from linkloom.llm.ngram_join import ngram_jaccard_pairs
 from linkloom.llm.packing import best_fit_packing
 from linkloom.llm.token_counts import token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_ngram_jaccard": lambda s, d: ngram_jaccard_pairs(table(s, d, "documents")),
         "op5_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
         "op8_token_counts": lambda s, d: token_counts(table(s, d, "documents")),
         "op10_best_fit_packing": lambda s, d: best_fit_packing(table(s, d, "documents")),
