@@ -7,17 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.common import table
+from linkloom.llm.decontamination import benchmark_hits
 from linkloom.llm.license_scan import license_scan
 from linkloom.llm.ngram_join import ngram_jaccard_pairs
 from linkloom.llm.packing import best_fit_packing
+from linkloom.llm.pii import pii_spans
+from linkloom.llm.quality_gam import quality_scores
 from linkloom.llm.token_counts import token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_pii_spans": lambda s, d: pii_spans(table(s, d, "documents")),
         "op4_ngram_jaccard": lambda s, d: ngram_jaccard_pairs(table(s, d, "documents")),
         "op5_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
+        "op6_benchmark_hits": lambda s, d: benchmark_hits(table(s, d, "documents"), table(s, d, "benchmark")),
         "op8_token_counts": lambda s, d: token_counts(table(s, d, "documents")),
+        "op9_quality_scores": lambda s, d: quality_scores(table(s, d, "documents"), table(s, d, "labels")),
         "op10_best_fit_packing": lambda s, d: best_fit_packing(table(s, d, "documents")),
     }
 
