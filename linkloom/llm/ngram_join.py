@@ -96,6 +96,7 @@ def _messages(parts: int, n: int, chunk_bytes: int):
             heads.clear()
             docs = held = 0
             number += 1
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MESSAGE)], schema=_MESSAGE)
 
         for batch in batches:
@@ -127,6 +128,7 @@ def _frequencies(group: pa.Table) -> pa.Table:
     """For one range of the hash space: back to each chunk, the grams that occur in several documents, with their frequencies."""
     if group.column("part")[0].as_py() < 0:
         return group
+    pa.default_memory_pool().release_unused()
     found = [_expand(w, p) for w, p in zip(group.column("width").to_pylist(), group.column("payload").to_pylist())]
     every = np.sort(np.concatenate([a >> _LOCAL for a in found]))
     edges = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
@@ -171,6 +173,7 @@ def choose_level(frequencies: np.ndarray, alone: int, size: int, threshold: floa
 
 def _sets(threshold: float, most: int, verify_cost: float):
     def run(group: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         parts = group.column("part").to_pylist()
         payload = group.column("payload").to_pylist()
         head = np.frombuffer(payload[next(i for i, p in enumerate(parts) if p < 0)], np.uint64).reshape(-1, 4)
@@ -201,7 +204,7 @@ def _sets(threshold: float, most: int, verify_cost: float):
 
 def gram_sets(docs: DataFrame, *, n: int, threshold: float, most: int, verify_cost: float, chunk_bytes: int) -> DataFrame:
     """Documents whose prefix has a gram of another document, with what the join needs; in the shared checkpoint folder."""
-    parts = partitions(docs)
+    parts = 2 * partitions(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text")).where("id is not null and text is not null")
     sent = rows.mapInArrow(_messages(parts, n, chunk_bytes), _MESSAGE_SQL)
     returned = sent.groupBy("part").applyInArrow(_frequencies, _MESSAGE_SQL)
@@ -221,7 +224,7 @@ def _overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
         yield pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
 
 
-def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 32 << 20) -> DataFrame:
+def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20) -> DataFrame:
     """Pairs of different gram sets with Jaccard similarity of at least ``threshold``, and groups of documents with equal sets.
 
     Columns: left_id, right_id (the smallest doc_id of each set), left_ids, right_ids (all
