@@ -21,13 +21,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from linkloom.llm.common import SLICE_BYTES, buffers, cut, drop_cut, gram_hashes, mix, partitions, slices, word_hashes, words
 
@@ -124,6 +122,15 @@ def _messages(parts: int, n: int, chunk_bytes: int):
     return run
 
 
+def to_rarity(frequency: np.ndarray) -> np.ndarray:
+    """Frequencies in steps of a twelfth of a doubling, as bytes: enough to order grams by, the same for all documents that hold one."""
+    return np.minimum(np.rint(12 * np.log2(frequency)), 255).astype(np.uint8)
+
+
+def from_rarity(code: np.ndarray) -> np.ndarray:
+    return 2 ** (code / 12)
+
+
 def _frequencies(group: pa.Table) -> pa.Table:
     """For one range of the hash space: back to each chunk, the grams that occur in several documents, with their frequencies."""
     if group.column("part")[0].as_py() < 0:
@@ -134,7 +141,7 @@ def _frequencies(group: pa.Table) -> pa.Table:
     edges = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
     counts = np.diff(np.r_[edges, len(every)])
     several = counts > 1
-    grams, counts = every[edges[several]], counts[several]
+    grams, rarity = every[edges[several]], to_rarity(counts[several])
     out: list[tuple] = []
     for chunk, a in zip(group.column("chunk").to_pylist(), found):
         if not len(grams):
@@ -143,8 +150,7 @@ def _frequencies(group: pa.Table) -> pa.Table:
         at = np.minimum(np.searchsorted(grams, bare), len(grams) - 1)
         hit = grams[at] == bare
         if hit.any():
-            frequency = np.minimum(counts[at[hit]], np.iinfo(np.uint32).max).astype(np.uint32)
-            out.append((0, chunk, *_squeeze(a[hit]), frequency.tobytes()))
+            out.append((0, chunk, *_squeeze(a[hit]), rarity[at[hit]].tobytes()))
     columns = list(zip(*out)) if out else [()] * 5
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MESSAGE)], schema=_MESSAGE)
 
@@ -182,7 +188,7 @@ def _sets(threshold: float, most: int, verify_cost: float):
         if rest:
             widths, frequencies = group.column("width").to_pylist(), group.column("frequency").to_pylist()
             a = np.concatenate([_expand(widths[i], payload[i]) for i in rest])
-            f = np.concatenate([np.frombuffer(frequencies[i], np.uint32) for i in rest])
+            f = np.concatenate([np.frombuffer(frequencies[i], np.uint8) for i in rest])
             doc, gram = (a & _MASK).astype(np.int64), a >> _LOCAL
             order = np.lexsort((gram, f, doc))
             doc, gram, f = doc[order], gram[order], f[order]
@@ -193,7 +199,7 @@ def _sets(threshold: float, most: int, verify_cost: float):
                 alone = size - int(hi - lo)
                 if prefix_length(size, threshold, 1) <= alone:
                     continue
-                level = choose_level(f[lo:hi], alone, size, threshold, most, verify_cost)
+                level = choose_level(from_rarity(f[lo:hi]), alone, size, threshold, most, verify_cost)
                 end = lo + prefix_length(size, threshold, level) - alone
                 out.append((*head[d, :3].astype(np.int64).tolist(), size, level, gram[lo:end].astype(np.int64), np.sort(gram[lo:hi]).tobytes()))
         columns = list(zip(*out)) if out else [()] * 7
@@ -211,20 +217,63 @@ def gram_sets(docs: DataFrame, *, n: int, threshold: float, most: int, verify_co
     return cut(returned.groupBy("chunk").applyInArrow(_sets(threshold, most, verify_cost), _SETS_SQL))
 
 
-def _first_in_prefix(threshold: float) -> Column:
+def _since(threshold: float) -> Column:
     """The level from which a gram at place ``pos`` of ``prefix`` is in the document's prefix."""
     base = F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)).cast("long") + 1
     shared_places = base - (F.col("size") - F.col("n_shared"))
     return F.greatest(F.lit(1).cast("long"), F.col("pos").cast("long") - shared_places + 2)
 
 
-@F.pandas_udf(LongType())
-def _overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        yield pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
+def _candidates(whole: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, size_a, size_b) of sets that share enough grams of their prefixes, a < b.
+
+    Near duplicates share many grams, and these have the same lists of documents. Lists that
+    are equal are one list with a count before any pair is made of them.
+    """
+    code = F.shiftleft("size", 16) + F.shiftleft("level", 8) + _since(threshold)
+    postings = whole.withColumn("n_shared", (F.octet_length("shared") / 8).cast("long")).select("id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram")).select("gram", F.struct("id", code.alias("code")).alias("entry"))
+    lists = postings.groupBy("gram").agg(F.array_sort(F.collect_list("entry")).alias("entries")).where(F.size("entries") > 1).groupBy("entries").agg(F.count(F.lit(1)).alias("n"))
+    lefts = lists.select("n", "entries", F.posexplode("entries").alias("at", "left"))
+    both = lefts.select("n", "left", F.explode(F.slice("entries", F.col("at") + 2, F.size("entries"))).alias("right"))
+
+    def part(side: str, shift: int, bits: int) -> Column:
+        return F.shiftright(F.col(side)["code"], shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+    size_a, size_b = (F.shiftright(F.col(x)["code"], 16) for x in ("left", "right"))
+    lower = F.least(part("left", 8, 8), part("right", 8, 8))
+    near = (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * F.lit(threshold) - F.lit(1e-9)) & (F.greatest(part("left", 0, 8), part("right", 0, 8)) <= lower)
+    met = both.where(near).groupBy(F.col("left.id").alias("a"), F.col("right.id").alias("b")).agg(F.sum("n").alias("met"), F.first(lower).alias("needed"), F.first(size_a).alias("size_a"), F.first(size_b).alias("size_b"))
+    return met.where("met >= needed").select("a", "b", "size_a", "size_b")
+
+
+def _verify(threshold: float):
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
+        grams = {i: np.frombuffer(b, np.uint64) for i, b in zip(sets.column("id").to_pylist(), sets.column("shared").to_pylist())}
+        a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
+        both = np.array([len(np.intersect1d(grams[x], grams[y], assume_unique=True)) for x, y in zip(a, b)], np.float64)
+        jaccard = both / (pairs.column("size_a").to_numpy() + pairs.column("size_b").to_numpy() - both)
+        keep = jaccard >= threshold - 1e-9
+        return pa.table({"a": pairs.column("a").filter(pa.array(keep)), "b": pairs.column("b").filter(pa.array(keep)), "jaccard": jaccard[keep]})
+
+    return run
+
+
+def _verified(found: DataFrame, whole: DataFrame, threshold: float, pairs_at_once: int) -> DataFrame:
+    """(a, b, jaccard) of the candidates that reach the threshold.
+
+    Candidates go in groups by the smallest partner of ``a``, so that the set of a document is
+    sent once for a whole group of near duplicates. Groups with many pairs are split by ``a``.
+    """
+    least = found.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("least"))
+    grouped = found.join(least, "a", "left").withColumn("group", F.coalesce("least", "a")).drop("least")
+    split = grouped.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(pairs_at_once)).alias("splits")).where("splits > 1")
+    grouped = grouped.join(split, "group", "left").withColumn("split", F.coalesce(F.pmod(F.xxhash64("a"), "splits"), F.lit(0).cast("long"))).drop("splits")
+    needed = grouped.select(F.col("group").alias("of"), F.col("split").alias("part"), F.explode(F.array("a", "b")).alias("id")).distinct().join(whole.select("id", "shared"), "id")
+    return grouped.groupBy("group", "split").cogroup(needed.groupBy("of", "part")).applyInArrow(_verify(threshold), "a long, b long, jaccard double")
 
 
-def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20) -> DataFrame:
+def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20, pairs_at_once: int = 500_000) -> DataFrame:
     """Pairs of different gram sets with Jaccard similarity of at least ``threshold``, and groups of documents with equal sets.
 
     Columns: left_id, right_id (the smallest doc_id of each set), left_ids, right_ids (all
@@ -235,36 +284,23 @@ def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6,
     Grams are runs of ``n`` words of the lower-cased text; a text with fewer words is one gram
     of them all; repeated grams count once. ``most_shared`` bounds the levels that a document
     chooses from, ``verify_cost`` weighs a verification against a posting; neither changes the
-    result. Grams are compared by 48 bits of a hash.
+    result, nor do ``chunk_bytes`` and ``pairs_at_once``, which bound the memory of a task. Grams
+    are compared by 48 bits of a hash.
 
     Texts without a word, null texts and null doc_ids match nothing. Repeated rows count once;
-    rows of one doc_id with different texts are each matched, but sets with the same
-    smallest doc_id aren't paired. An empty table gives an empty result; other columns are ignored.
+    of a doc_id with several texts one text that could match is used. An empty table gives an empty result; other columns are ignored.
     """
-    if not 0 < threshold <= 1 or n < 1 or most_shared < 1:
-        raise ValueError("threshold must be in (0, 1], n and most_shared positive")
+    if not 0 < threshold <= 1 or n < 1 or not 1 <= most_shared < 256:
+        raise ValueError("threshold must be in (0, 1], n positive, most_shared from 1 to 255")
     sets = gram_sets(docs, n=n, threshold=threshold, most=most_shared, verify_cost=verify_cost, chunk_bytes=chunk_bytes)
-    members = sets.groupBy("key1", "key2").agg(F.min("id").alias("first"), F.array_sort(F.collect_set("id")).alias("ids"))
-    members = cut(members)
-    whole = sets.join(members.select("key1", "key2", F.col("first").alias("id")), ["key1", "key2", "id"]).dropDuplicates(["key1", "key2", "id"])
-    whole = whole.withColumn("n_shared", (F.octet_length("shared") / 8).cast("long"))
-    postings = whole.select("key1", "key2", "id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram")).select("gram", "id", "key1", "key2", "size", "level", _first_in_prefix(threshold).alias("since"))
-    a, b = (postings.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "key1", "key2", "size", "level", "since")]) for x in "ab")
-    lower = F.least("level_a", "level_b")
-    met = (
-        a.join(b, "gram")
-        .where((F.col("id_a") < F.col("id_b")) & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(threshold) - F.lit(1e-9)) & (F.greatest("since_a", "since_b") <= lower))
-        .groupBy("id_a", "key1_a", "key2_a", "size_a", "id_b", "key1_b", "key2_b", "size_b")
-        .agg(F.count(F.lit(1)).alias("met"), F.first(lower).alias("needed"))
-        .where("met >= needed")
-    )
-    texts = whole.select("key1", "key2", "shared")
-    left, right = (texts.select(*[F.col(c).alias(f"{c}_{x}") for c in texts.columns]) for x in "ab")
-    overlap = met.join(left, ["key1_a", "key2_a"]).join(right, ["key1_b", "key2_b"]).withColumn("both", _overlap("shared_a", "shared_b")).drop("shared_a", "shared_b")
-    similar = overlap.withColumn("jaccard", F.col("both") / (F.col("size_a") + F.col("size_b") - F.col("both"))).where(F.col("jaccard") >= F.lit(threshold) - F.lit(1e-9))
-    l, r = (members.select(*[F.col(c).alias(f"{c}_{x}") for c in members.columns]) for x in "ab")
-    pairs = similar.join(l, ["key1_a", "key2_a"]).join(r, ["key1_b", "key2_b"]).select(F.col("id_a").alias("left_id"), F.col("id_b").alias("right_id"), F.col("ids_a").alias("left_ids"), F.col("ids_b").alias("right_ids"), F.round("jaccard", 6).alias("jaccard"))
-    equal = members.where(F.size("ids") > 1).select(F.col("first").alias("left_id"), F.col("first").alias("right_id"), F.col("ids").alias("left_ids"), F.col("ids").alias("right_ids"), F.lit(1.0).alias("jaccard"))
+    own = sets.groupBy("id").agg(F.min(F.struct("key1", "key2")).alias("key"))
+    members = cut(own.groupBy("key").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")))
+    whole = sets.join(members.select("id", F.col("key.key1").alias("key1"), F.col("key.key2").alias("key2")), ["id", "key1", "key2"], "left_semi").dropDuplicates(["id"])
+    found = cut(_candidates(whole, threshold))
+    similar = _verified(found, whole, threshold, pairs_at_once)
+    l, r = (members.select(F.col("id").alias(i), F.col("ids").alias(f"ids_{i}")) for i in "ab")
+    pairs = similar.join(l, "a").join(r, "b").select(F.col("a").alias("left_id"), F.col("b").alias("right_id"), F.col("ids_a").alias("left_ids"), F.col("ids_b").alias("right_ids"), F.round("jaccard", 6).alias("jaccard"))
+    equal = members.where(F.size("ids") > 1).select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.col("ids").alias("left_ids"), F.col("ids").alias("right_ids"), F.lit(1.0).alias("jaccard"))
     return pairs.unionByName(equal)
 
 
