@@ -35,8 +35,8 @@ _CHUNK_DOCS = 1 << 16
 
 _MESSAGE = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()), ("frequency", pa.binary())])
 _MESSAGE_SQL = "part long, chunk long, width int, payload binary, frequency binary"
-_SETS = pa.schema([("id", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("size", pa.int64()), ("level", pa.int64()), ("prefix", pa.list_(pa.int64())), ("shared", pa.binary())])
-_SETS_SQL = "id long, key1 long, key2 long, size long, level long, prefix array<long>, shared binary"
+_SETS = pa.schema([("id", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("size", pa.int64()), ("level", pa.int64()), ("n_shared", pa.int64()), ("prefix", pa.list_(pa.int64())), ("shared", pa.binary())])
+_SETS_SQL = "id long, key1 long, key2 long, size long, level long, n_shared long, prefix array<long>, shared binary"
 
 
 def _squeeze(a: np.ndarray) -> tuple[int, bytes]:
@@ -58,6 +58,18 @@ def _expand(width: int, payload: bytes) -> np.ndarray:
     return np.cumsum(d, dtype=np.uint64)
 
 
+def _six_bytes(grams: np.ndarray) -> bytes:
+    """48-bit numbers without their two empty bytes."""
+    return np.ascontiguousarray(grams.astype(np.uint64)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six_bytes(payload: bytes) -> np.ndarray:
+    a = np.frombuffer(payload, np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(a), 8), np.uint8)
+    wide[:, :6] = a
+    return wide.reshape(-1).view(np.uint64)
+
+
 def document_grams(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct 48-bit gram hashes of each text, as (gram << 16 | text) sorted by text; the second array is each text's number of grams. At most 65,536 texts."""
     data, offsets = buffers(texts)
@@ -201,8 +213,8 @@ def _sets(threshold: float, most: int, verify_cost: float):
                     continue
                 level = choose_level(from_rarity(f[lo:hi]), alone, size, threshold, most, verify_cost)
                 end = lo + prefix_length(size, threshold, level) - alone
-                out.append((*head[d, :3].astype(np.int64).tolist(), size, level, gram[lo:end].astype(np.int64), np.sort(gram[lo:hi]).tobytes()))
-        columns = list(zip(*out)) if out else [()] * 7
+                out.append((*head[d, :3].astype(np.int64).tolist(), size, level, int(hi - lo), gram[lo:end].astype(np.int64), _six_bytes(np.sort(gram[lo:hi]))))
+        columns = list(zip(*out)) if out else [()] * 8
         return pa.table([pa.array(c, x.type) for c, x in zip(columns, _SETS)], schema=_SETS)
 
     return run
@@ -231,7 +243,7 @@ def _candidates(whole: DataFrame, threshold: float) -> DataFrame:
     are equal are one list with a count before any pair is made of them.
     """
     code = F.shiftleft("size", 16) + F.shiftleft("level", 8) + _since(threshold)
-    postings = whole.withColumn("n_shared", (F.octet_length("shared") / 8).cast("long")).select("id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram")).select("gram", F.struct("id", code.alias("code")).alias("entry"))
+    postings = whole.select("id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram")).select("gram", F.struct("id", code.alias("code")).alias("entry"))
     lists = postings.groupBy("gram").agg(F.array_sort(F.collect_list("entry")).alias("entries")).where(F.size("entries") > 1).groupBy("entries").agg(F.count(F.lit(1)).alias("n"))
     lefts = lists.select("n", "entries", F.posexplode("entries").alias("at", "left"))
     both = lefts.select("n", "left", F.explode(F.slice("entries", F.col("at") + 2, F.size("entries"))).alias("right"))
@@ -249,7 +261,7 @@ def _candidates(whole: DataFrame, threshold: float) -> DataFrame:
 def _verify(threshold: float):
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
-        grams = {i: np.frombuffer(b, np.uint64) for i, b in zip(sets.column("id").to_pylist(), sets.column("shared").to_pylist())}
+        grams = {i: _from_six_bytes(b) for i, b in zip(sets.column("id").to_pylist(), sets.column("shared").to_pylist())}
         a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
         both = np.array([len(np.intersect1d(grams[x], grams[y], assume_unique=True)) for x, y in zip(a, b)], np.float64)
         jaccard = both / (pairs.column("size_a").to_numpy() + pairs.column("size_b").to_numpy() - both)
@@ -259,7 +271,7 @@ def _verify(threshold: float):
     return run
 
 
-def _verified(found: DataFrame, whole: DataFrame, threshold: float, pairs_at_once: int) -> DataFrame:
+def _verified(found: DataFrame, sets: DataFrame, keys: DataFrame, threshold: float, pairs_at_once: int) -> DataFrame:
     """(a, b, jaccard) of the candidates that reach the threshold.
 
     Candidates go in groups by the smallest partner of ``a``, so that the set of a document is
@@ -269,7 +281,7 @@ def _verified(found: DataFrame, whole: DataFrame, threshold: float, pairs_at_onc
     grouped = found.join(least, "a", "left").withColumn("group", F.coalesce("least", "a")).drop("least")
     split = grouped.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(pairs_at_once)).alias("splits")).where("splits > 1")
     grouped = grouped.join(split, "group", "left").withColumn("split", F.coalesce(F.pmod(F.xxhash64("a"), "splits"), F.lit(0).cast("long"))).drop("splits")
-    needed = grouped.select(F.col("group").alias("of"), F.col("split").alias("part"), F.explode(F.array("a", "b")).alias("id")).distinct().join(whole.select("id", "shared"), "id")
+    needed = grouped.select(F.col("group").alias("of"), F.col("split").alias("part"), F.explode(F.array("a", "b")).alias("id")).distinct().join(keys, "id").join(sets.select("id", "key1", "key2", "shared"), ["id", "key1", "key2"]).drop("key1", "key2")
     return grouped.groupBy("group", "split").cogroup(needed.groupBy("of", "part")).applyInArrow(_verify(threshold), "a long, b long, jaccard double")
 
 
@@ -295,9 +307,11 @@ def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6,
     sets = gram_sets(docs, n=n, threshold=threshold, most=most_shared, verify_cost=verify_cost, chunk_bytes=chunk_bytes)
     own = sets.groupBy("id").agg(F.min(F.struct("key1", "key2")).alias("key"))
     members = cut(own.groupBy("key").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")))
-    whole = sets.join(members.select("id", F.col("key.key1").alias("key1"), F.col("key.key2").alias("key2")), ["id", "key1", "key2"], "left_semi").dropDuplicates(["id"])
+    # the sets themselves travel once, when pairs are verified; until then there are only their prefixes
+    keys = members.select("id", F.col("key.key1").alias("key1"), F.col("key.key2").alias("key2"))
+    whole = sets.drop("shared").join(keys, ["id", "key1", "key2"], "left_semi").dropDuplicates(["id"])
     found = cut(_candidates(whole, threshold))
-    similar = _verified(found, whole, threshold, pairs_at_once)
+    similar = _verified(found, sets, keys, threshold, pairs_at_once)
     l, r = (members.select(F.col("id").alias(i), F.col("ids").alias(f"ids_{i}")) for i in "ab")
     pairs = similar.join(l, "a").join(r, "b").select(F.col("a").alias("left_id"), F.col("b").alias("right_id"), F.col("ids_a").alias("left_ids"), F.col("ids_b").alias("right_ids"), F.round("jaccard", 6).alias("jaccard"))
     equal = members.where(F.size("ids") > 1).select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.col("ids").alias("left_ids"), F.col("ids").alias("right_ids"), F.lit(1.0).alias("jaccard"))
