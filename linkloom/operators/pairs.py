@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as T
 from linkloom.operators import tfidf
+from linkloom.operators.lineage import cut
 
 PAIR = ["left_source", "right_source", "left_id", "right_id", "similarity", "match_scope", "match_type"]
 PAIR_SQL = "left_source string, right_source string, left_id string, right_id string, similarity double, match_scope string, match_type string"
@@ -226,12 +227,12 @@ def best_of_kinds(*found: DataFrame) -> DataFrame:
 
 
 def tfidf_cross_with_perm12(df: DataFrame, threshold: float = 0.8, *, separator: str = " / ") -> DataFrame:
-    base = tfidf_cross_mutual(df, threshold)
+    base = cut(tfidf_cross_mutual(df, threshold))  # used several times, and by far the most work
     return best_of_kinds(base, cross_perm12_fallback(df, base, separator=separator))
 
 
 def tfidf_cross_with_perm12_and_unordered(df: DataFrame, threshold: float = 0.8) -> DataFrame:
-    both = tfidf_cross_with_perm12(df, threshold)
+    both = cut(tfidf_cross_with_perm12(df, threshold))
     return best_of_kinds(both, unordered_exact_fallback(df, both))
 
 

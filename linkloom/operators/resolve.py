@@ -96,7 +96,7 @@ def intra_resolution(pairs: DataFrame, cats: DataFrame, *, as_of: str) -> tuple[
     in_order = F.array_sort(F.collect_list(F.struct("dropped_id", "dropped_category_id", "dropped_pretty_path")))
     group = [c for c in INTRA if not c.startswith("dropped") or c == "dropped_source"]
     agg = pairwise.groupBy("root", *group).agg(in_order.alias("x"))
-    joined = {c: F.array_join(F.filter(F.transform("x", lambda r, c=c: r[c]), lambda v: v.isNotNull() & ((v != "") if c == "dropped_pretty_path" else F.lit(True))), " | ") for c in ("dropped_id", "dropped_category_id", "dropped_pretty_path")}
+    joined = {c: F.array_join(F.filter(F.col("x")[c], lambda v: v.isNotNull()), " | ") for c in ("dropped_id", "dropped_category_id", "dropped_pretty_path")}
     return agg.withColumns(joined).select(*INTRA), pairwise.select(*INTRA)
 
 
