@@ -7,6 +7,7 @@ words are found and hashed for all texts at once and no Python object is made pe
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim  # noqa: B018
+except (OSError, AttributeError):  # another C library
+    _libc = None
+
 #: Texts are handled in slices of about this many bytes, so that memory doesn't follow Arrow's batch size.
 SLICE_BYTES = 4 << 20
 
@@ -82,6 +89,13 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release() -> None:
+    """Gives memory that this worker has freed back to the system; workers live on from one stage to the next."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def text_or_empty(c: str | Column = "text") -> Column:
     """Null texts count as empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))

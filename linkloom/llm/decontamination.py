@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from linkloom.llm.common import buffers, gram_hashes, slices, text_or_empty, word_hashes, words
+from linkloom.llm.common import buffers, gram_hashes, release, slices, text_or_empty, word_hashes, words
 
 SCHEMA = "doc_id long, passage long, item_id long, bm25 double, question_overlap double, answer_overlap double, contaminated boolean"
 _FIELDS = pa.schema([("doc_id", pa.int64()), ("passage", pa.int64()), ("item_id", pa.int64()), ("bm25", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("contaminated", pa.bool_())])
@@ -224,6 +224,7 @@ class Searcher:
         for batch in batches:
             for part in slices(batch):
                 found = search(self.index, part.column("text"), self.window, self.threshold, self.overlap)
+                release()
                 if found:
                     ids = part.column("id")
                     columns = list(zip(*found))
@@ -236,6 +237,7 @@ class Searcher:
             for row in search(self.index, part.column("text"), self.window, self.threshold, self.overlap):
                 flag[row[0]] |= row[6]
             out.append(flag)
+            release()
         return np.concatenate(out) if out else np.zeros(0, bool)
 
 

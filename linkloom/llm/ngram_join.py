@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import SLICE_BYTES, buffers, cut, drop_cut, gram_hashes, mix, partitions, slices, word_hashes, words
+from linkloom.llm.common import SLICE_BYTES, buffers, cut, drop_cut, gram_hashes, mix, partitions, release, slices, word_hashes, words
 
 _LOCAL = np.uint64(16)
 _MASK = np.uint64(0xFFFF)
@@ -106,7 +106,7 @@ def _messages(parts: int, n: int, chunk_bytes: int):
             heads.clear()
             docs = held = 0
             number += 1
-            pa.default_memory_pool().release_unused()
+            release()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _MESSAGE)], schema=_MESSAGE)
 
         for batch in batches:
@@ -130,6 +130,7 @@ def _messages(parts: int, n: int, chunk_bytes: int):
                 held += part.column("text").nbytes
         if docs:
             yield flush()
+        release()
 
     return run
 
@@ -147,7 +148,7 @@ def _frequencies(group: pa.Table) -> pa.Table:
     """For one range of the hash space: back to each chunk, the grams that occur in several documents, with their frequencies."""
     if group.column("part")[0].as_py() < 0:
         return group
-    pa.default_memory_pool().release_unused()
+    release()
     found = [_expand(w, p) for w, p in zip(group.column("width").to_pylist(), group.column("payload").to_pylist())]
     every = np.sort(np.concatenate([a >> _LOCAL for a in found]))
     edges = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
@@ -191,7 +192,7 @@ def choose_level(frequencies: np.ndarray, alone: int, size: int, threshold: floa
 
 def _sets(threshold: float, most: int, verify_cost: float):
     def run(group: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
+        release()
         parts = group.column("part").to_pylist()
         payload = group.column("payload").to_pylist()
         head = np.frombuffer(payload[next(i for i, p in enumerate(parts) if p < 0)], np.uint64).reshape(-1, 4)
@@ -260,7 +261,7 @@ def _candidates(whole: DataFrame, threshold: float) -> DataFrame:
 
 def _verify(threshold: float):
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
+        release()
         grams = {i: _from_six_bytes(b) for i, b in zip(sets.column("id").to_pylist(), sets.column("shared").to_pylist())}
         a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
         both = np.array([len(np.intersect1d(grams[x], grams[y], assume_unique=True)) for x, y in zip(a, b)], np.float64)

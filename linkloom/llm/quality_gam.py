@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from linkloom.llm.common import buffers, gram_hashes, slices, text_or_empty, word_hashes, words
+from linkloom.llm.common import buffers, gram_hashes, release, slices, text_or_empty, word_hashes, words
 
 FEATURES = ["words", "word_bytes", "upper", "symbols", "marks", "bars", "digits", "distinct_words", "repeats_next", "top_word", "distinct_trigrams", "repeated_lines", "line_words", "stops", "non_ascii"]
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _SYMBOL, _MARK, _BAR, _STOP, _HIGH = range(10)
@@ -261,6 +261,7 @@ def score(text: Column, model: Model) -> Column:
     def run(t: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([pc.fill_null(t, "")], ["text"])
         parts = [model.probability(features(p.column("text"))) for p in slices(batch)]
+        release()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return run(text)
