@@ -120,7 +120,7 @@ def embedding_pairs(vectors: DataFrame, *, threshold: float = 0.95, nearest: int
     n = entries.count()
     m = max(least_pivots, math.ceil(pivots_per_root * math.sqrt(n)))
     chosen = [r["v"] for r in entries.orderBy("key", "id").limit(m).select("v").collect()]
-    pivots = np.array(chosen, np.float32).reshape(len(chosen), -1)
+    pivots = np.array(chosen, np.float32).reshape(len(chosen), dimension)
     if len(pivots):
         pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     shared_pivots = vectors.sparkSession.sparkContext.broadcast(pivots)
