@@ -29,6 +29,8 @@ from linkloom.llm.common import buffers, gram_hashes, release, slices, text_or_e
 
 SCHEMA = "doc_id long, passage long, item_id long, bm25 double, question_overlap double, answer_overlap double, contaminated boolean"
 _FIELDS = pa.schema([("doc_id", pa.int64()), ("passage", pa.int64()), ("item_id", pa.int64()), ("bm25", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("contaminated", pa.bool_())])
+#: Postings that are scored at once, so that memory follows neither the slice nor the number of items.
+_POSTINGS_AT_ONCE = 1 << 20
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 
@@ -141,6 +143,20 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, threshold: flo
     passage, term = passage[keep], term[keep]
     if not len(passage):
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+    order = np.argsort(passage, kind="stable")
+    passage, term = passage[order], term[order]
+    # whole passages at a time, with about so many postings
+    work = np.cumsum(index.ends[term + 1] - index.ends[term])
+    new = np.r_[True, passage[1:] != passage[:-1]]
+    run = (work[new] // _POSTINGS_AT_ONCE)[np.cumsum(new) - 1]
+    bounds = np.r_[np.flatnonzero(np.r_[True, run[1:] != run[:-1]]), len(passage)].tolist()
+    found = [_scored(index, passage[lo:hi], term[lo:hi], threshold) for lo, hi in zip(bounds, bounds[1:])]
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _scored(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Block maxima, then exact scores, of passages that are left."""
+    eps = 1e-9
     ids, passage = np.unique(passage, return_inverse=True)
     entry, at = _spread(index.block_ends, term)
     bound = np.bincount(passage[entry] * index.n_blocks + index.blocks[at], index.block_greatest[at], len(ids) * index.n_blocks)
