@@ -5,6 +5,10 @@ one feature, in cycles over all features; its leaves are added to that feature's
 Then pairs of features are ranked by how much a coarse grid of them explains of the remaining
 gradient, and the best ones get two-dimensional tables in the same way. A document's score is a
 sum of looked-up bins.
+
+Most features are figures of the surface. The others say how much a text's words, and the
+beginnings of its words, speak for toxicity: log-odds learned from the labelled documents. What
+a labelled document is given when the tables are fitted was learned from other documents.
 """
 
 from __future__ import annotations
@@ -19,9 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from linkloom.llm.common import buffers, gram_hashes, release, slices, text_or_empty, word_hashes, words
+from linkloom.llm.common import buffers, cut, drop_cut, gram_hashes, release, slices, text_or_empty, word_hashes, words
 
 FEATURES = ["words", "word_bytes", "upper", "symbols", "marks", "bars", "digits", "distinct_words", "repeats_next", "top_word", "distinct_trigrams", "repeated_lines", "line_words", "stops", "non_ascii"]
+LEXICAL = ["mean_of_words", "most_of_words", "mean_of_stems", "most_of_stems"]
+FOLDS = 5
+#: Bytes of a word's beginning that count as its stem.
+STEM = 5
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _SYMBOL, _MARK, _BAR, _STOP, _HIGH = range(10)
 _CLASS = np.full(256, _SYMBOL, np.int64)
 _CLASS[97:123] = _LOWER
@@ -102,6 +110,58 @@ def features(texts: pa.Array) -> np.ndarray:
     return np.nan_to_num(x)
 
 
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+_STEM_SALT = np.uint64(0xA5A5A5A5A5A5A5A5)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words in small letters, hashes of their stems, and the number of each word's text."""
+    data, offsets = buffers(texts)
+    small = _SMALL[data]
+    if len(data):
+        second = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1
+        small[second] += 32
+    start, end, of = words(data, offsets)
+    h = word_hashes(small, np.r_[start, start], np.r_[end, np.minimum(start + STEM, end)])
+    return h[: len(start)], h[len(start) :] ^ _STEM_SALT, of
+
+
+@dataclass
+class Lexicon:
+    """Sorted hashes of words and stems, and the log-odds of each that a text with it is toxic."""
+
+    hashes: np.ndarray
+    weights: np.ndarray
+
+    def features(self, texts: pa.Array) -> np.ndarray:
+        """A row for each text, a column for each of LEXICAL. Unknown words weigh nothing."""
+        n = len(texts)
+        x = np.zeros((n, len(LEXICAL)))
+        if not len(self.hashes):
+            return x
+        *both, of = tokens(texts)
+        some = np.maximum(np.bincount(of, minlength=n), 1)
+        for k, h in enumerate(both):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            w = np.where(self.hashes[at] == h, self.weights[at], 0.0)
+            x[:, 2 * k] = np.bincount(of, w, n) / some
+            np.maximum.at(x[:, 2 * k + 1], of, w)
+        return x
+
+
+def lexicon(hashes: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, least: int = 2) -> Lexicon:
+    """From the numbers of toxic and clean documents with each hash. Counts are compared with those expected if toxicity didn't matter, one document added to each, so rare words weigh little."""
+    if not n_toxic or not n_clean:
+        return Lexicon(hashes[:0], np.zeros(0))
+    keep = toxic + clean >= least
+    hashes, toxic, clean = hashes[keep], toxic[keep], clean[keep]
+    share = n_toxic / (n_toxic + n_clean)
+    weights = np.log((toxic + 1) / ((toxic + clean) * share + 1)) - np.log((clean + 1) / ((toxic + clean) * (1 - share) + 1))
+    order = np.argsort(hashes)
+    return Lexicon(hashes[order], weights[order])
+
+
 @dataclass
 class Model:
     """Bin edges and tables of single features, and of pairs on coarser bins."""
@@ -111,6 +171,7 @@ class Model:
     bias: float
     single: list[np.ndarray]
     pairs: list[tuple[int, int, np.ndarray]]
+    lexicon: Lexicon | None = None
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         z = np.full(len(x), self.bias)
@@ -124,6 +185,10 @@ class Model:
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -35, 35)))
 
+    def judge(self, texts: pa.Array) -> np.ndarray:
+        """The probability of each text."""
+        return self.probability(np.hstack([features(texts), self.lexicon.features(texts)]))
+
 
 def _edges(v: np.ndarray, bins: int) -> np.ndarray:
     return np.unique(np.quantile(v, np.arange(1, bins) / bins, method="higher")) if len(v) else np.zeros(0)
@@ -231,27 +296,82 @@ def fit(x: np.ndarray, y: np.ndarray, *, bins: int = 32, coarse_bins: int = 8, r
     return model
 
 
-def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _feature_rows(lexicons: list[Lexicon]):
+    """(y, x) of each labelled text; its lexical features are those of its fold's lexicon."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                texts, fold = part.column("text"), part.column("fold").to_numpy()
+                lexical = np.zeros((len(texts), len(LEXICAL)))
+                for k in np.unique(fold):
+                    at = np.flatnonzero(fold == k)
+                    lexical[at] = lexicons[k].features(texts.take(pa.array(at)))
+                x = np.hstack([features(texts), lexical])
+                yield pa.RecordBatch.from_arrays([part.column("y"), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))], ["y", "x"])
+
+    return run
+
+
+def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of a slice have each hash, by fold and toxicity."""
     for batch in batches:
         for part in slices(batch):
-            x = features(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("y"), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))], ["y", "x"])
+            h_words, h_stems, of = tokens(part.column("text"))
+            h, of = np.r_[h_words, h_stems], np.r_[of, of]
+            order = np.lexsort((of, h))
+            h, of = h[order], of[order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (of[1:] != of[:-1])] if len(h) else np.zeros(0, bool)
+            h, of = h[new], of[new]
+            kind = (2 * part.column("fold").to_numpy() + part.column("toxic").to_numpy())[of]
+            order = np.lexsort((kind, h))
+            h, kind = h[order], kind[order]
+            new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (kind[1:] != kind[:-1])]) if len(h) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(kind[new].astype(np.int32)), pa.array(np.diff(np.r_[new, len(h)]))], ["hash", "kind", "n"])
+
+
+def _lexicons(rows: DataFrame) -> list[Lexicon]:
+    """A lexicon for each fold, learned from the others, and one learned from all."""
+    sizes = np.zeros(2 * FOLDS, np.int64)
+    for r in rows.groupBy("fold", "toxic").count().collect():
+        sizes[2 * r["fold"] + r["toxic"]] += r["count"]
+    if not sizes[1::2].sum():
+        return [lexicon(np.zeros(0, np.uint64), *[np.zeros(0)] * 2, 0, 0)] * (FOLDS + 1)
+    counts = rows.select("text", "fold", "toxic").mapInArrow(_token_rows, "hash long, kind int, n long").groupBy("hash").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(2 * FOLDS)])
+    table = counts.where("+".join(f"n{k}" for k in range(2 * FOLDS)) + " >= 2").toArrow()
+    hashes = table.column("hash").to_numpy().view(np.uint64)
+    n = np.stack([table.column(f"n{k}").to_numpy() for k in range(2 * FOLDS)])
+    out = []
+    for k in range(FOLDS + 1):
+        used = [j for j in range(FOLDS) if j != k]
+        toxic, clean = [2 * j + 1 for j in used], [2 * j for j in used]
+        out.append(lexicon(hashes, n[toxic].sum(0), n[clean].sum(0), int(sizes[toxic].sum()), int(sizes[clean].sum())))
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_train_rows: int = 20_000, **options) -> Model:
-    """Fits the model to labelled documents.
+    """Fits the model to labelled documents. One is good if its quality is 1 and it isn't toxic.
 
     ``max_train_rows`` bounds the labels used: those with the smallest hash of doc_id. A
-    document with several labels has its lowest. Null ids and labels are left out.
+    document with several labels has its lowest quality, and is toxic if one says so. A toxic
+    one is bad whatever its quality, even null; a null toxic counts as 0. Null ids, and rows
+    that say nothing of quality and aren't toxic, are left out.
     """
-    known = labels.select(labels["doc_id"].cast("long").alias("id"), labels["quality"].cast("double").alias("y")).where("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(max_train_rows)
-    rows = docs.select(docs["doc_id"].cast("long").alias("id"), text_or_empty(docs["text"]).alias("text")).join(F.broadcast(known), "id").select("y", "text")
-    table = rows.mapInArrow(_feature_rows, "y double, x array<double>").toArrow()
+    toxic = F.coalesce(labels["toxic"].cast("double") > 0.5, F.lit(False)).cast("int") if "toxic" in labels.columns else F.lit(0)
+    known = labels.select(labels["doc_id"].cast("long").alias("id"), labels["quality"].cast("double").alias("y"), toxic.alias("toxic")).withColumn("y", F.when(F.col("toxic") == 1, 0.0).otherwise(F.col("y")))
+    known = known.where("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y"), F.max("toxic").alias("toxic"))
+    known = known.orderBy(F.xxhash64("id"), "id").limit(max_train_rows).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
+    rows = cut(docs.select(docs["doc_id"].cast("long").alias("id"), text_or_empty(docs["text"]).alias("text")).join(F.broadcast(known), "id").select("y", "toxic", "fold", "text"))
+    lexicons = _lexicons(rows)
+    table = rows.select("y", "fold", "text").mapInArrow(_feature_rows(lexicons), "y double, x array<double>").toArrow()
+    drop_cut(rows)
     y = table.column("y").to_numpy()
-    x = np.asarray(table.column("x").combine_chunks().flatten()).reshape(len(y), len(FEATURES)) if len(y) else np.zeros((0, len(FEATURES)))
+    width = len(FEATURES) + len(LEXICAL)
+    x = np.asarray(table.column("x").combine_chunks().flatten()).reshape(len(y), width) if len(y) else np.zeros((0, width))
     order = np.lexsort((*x.T, y))
-    return fit(x[order], (y[order] > 0.5).astype(np.float64), **options)
+    model = fit(x[order], (y[order] > 0.5).astype(np.float64), **options)
+    model.lexicon = lexicons[-1]
+    return model
 
 
 def score(text: Column, model: Model) -> Column:
@@ -260,7 +380,7 @@ def score(text: Column, model: Model) -> Column:
     @F.arrow_udf(DoubleType())
     def run(t: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([pc.fill_null(t, "")], ["text"])
-        parts = [model.probability(features(p.column("text"))) for p in slices(batch)]
+        parts = [model.judge(p.column("text")) for p in slices(batch)]
         release()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
@@ -271,8 +391,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, accept: float = 0.5, m
     """(doc_id, quality_score, accepted) for each row of ``docs``.
 
     ``quality_score`` is the model's probability, rounded to 6 digits; ``accepted`` if the
-    unrounded one is at least ``accept``. The model is fitted to ``labels`` (doc_id, quality) as
-    in ``train``; with no usable label, or labels of one class, every document has the same
+    unrounded one is at least ``accept``. The model is fitted to ``labels`` (doc_id, quality,
+    toxic) as in ``train``, and good means of good quality and not toxic; with no usable label, or labels of one class, every document has the same
     score. Null texts count as empty; repeated rows are scored each; a null doc_id stays null;
     long texts are read whole; an empty table gives an empty result; other columns are ignored.
     """

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import common, decontamination, language_id, license_scan, ngram_join, packing, pii, pitman_yor, pivot_index, quality_gam, token_counts
 
@@ -205,6 +206,16 @@ def test_gam_beats_chance_on_held_out():
     assert quality_gam.fit(x[:0], y[:0]).probability(x[:2]).tolist() == [0.5, 0.5]
 
 
+def test_toxic_documents_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    learn, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "of")
+    found = quality_gam.quality_scores(docs, learn).join(held, F.col("doc_id") == F.col("of")).collect()
+    toxic = [r["accepted"] for r in found if r["toxic"]]
+    clean = [r["accepted"] for r in found if r["quality"] and not r["toxic"]]
+    assert np.mean(toxic) < 0.2 and np.mean(clean) > 0.95
+
+
 def test_recurrent_network_gradient():
     net = language_id.initial(["a", "b", "c"], 3, 2, 1, np.float64)
     rng = np.random.default_rng(0)
