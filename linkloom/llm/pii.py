@@ -29,12 +29,15 @@ SCHEMA = "doc_id long, span_start long, span_end long, kind string, probability
 #: A text without any of these has no candidate.
 HINT = r"[0-9@]|AKIA|gh[pousr]_|sk_|xox|AIza|eyJ|(?i:token|secret|passw|api.?key|access.?key)"
 _CANDIDATE = re.compile(
-    r"(?P<SECRET>(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b)[\"']?\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9_\-+/=.]{8,})[\"']?)"
+    r"(?P<SECRET>(?i:(?:token|secret(?:[_-]?key)?|password|passwd|api[_-]?key|access[_-]?key)\b)[\"']?\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9_\-+/=.]{8,})[\"']?)"
     r"|(?P<KEY>\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9\-]{10,}|AIza[0-9A-Za-z_\-]{35}|eyJ[\w\-]{10,}\.[\w\-]{10,}\.[\w\-]+)(?![A-Za-z0-9]))"
     r"|(?P<EMAIL>[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+[A-Za-z0-9])"
     r"|(?P<IP>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-    r"|(?P<PHONE>(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .\-]\d{3,4}[ .\-]\d{3,4}(?!\w))"
-    r"|(?P<CARD>(?<!\w)\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?!\w))"
+    r"|(?P<CARD>(?<![\w+])(?:\d{4}(?:[ .\-]?\d{4}){2}[ .\-]?\d{1,7}|\d{4}[ .\-]?\d{6}[ .\-]?\d{5})(?!\w))"
+    r"|(?P<PHONE>(?<![\w+])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}"
+    r"|(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{6,8}"
+    r"|\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?P<sep>[ .\-])\d{2,4}(?:(?P=sep)\d{2,4}){1,4}"
+    r"|\+\d{1,3}[ .\-]?\d{2,5}[ .\-]\d{4,9}|\+\d{8,15}|0\d(?P<pair>[ .\-])\d{2}(?:(?P=pair)\d{2}){3})(?!\w|[.\-]\d))"
     r"|(?P<ID_NUMBER>(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)|(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
 )
 _TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io dev app co uk de fr es it nl be ch at pl se no fi dk pt ie us ca mx br ar cl au nz jp cn in ru eu ai me tv".split())
@@ -95,7 +98,7 @@ def votes(text: str, start: int, end: int, kind: str) -> list[int]:
         gazetteer = -1 if parts[0] in (0, 127) or parts == [255] * 4 else 1
         shape = -1 if any(len(p) > 1 and p[0] == "0" for p in s.split(".")) else 1
     elif kind == "PHONE":
-        pattern = 1 if re.fullmatch(r"\+?\d{0,3}[ .\-]?\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}", s) else 0
+        pattern = 1 if re.fullmatch(r"\+?\d{0,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]\d{4}|\+\d[\d ().\-]+", s) else 0
         code = re.match(r"\+(\d{1,3})", s)
         gazetteer = 0 if code is None else 1 if any(code[1].startswith(c) for c in _COUNTRY_CODES) else -1
         shape = 1 if 9 <= len(digits) <= 15 else -1
@@ -117,6 +120,8 @@ def votes(text: str, start: int, end: int, kind: str) -> list[int]:
             pattern = 1 if 15 <= len(s.replace(" ", "")) <= 34 else -1
             shape = 1 if digits and len(digits) * 2 > len(s) else -1
     around = set(before) | set(after)
+    if kind == "SECRET":  # names such as DB_PASSWORD
+        around |= {part for w in around for part in re.split("[_-]", w)}
     context = 1 if around & _CONTEXT[kind] else -1 if around & _AGAINST else 0
     return [pattern, checksum, gazetteer, context, shape]
 

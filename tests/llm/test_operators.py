@@ -197,6 +197,24 @@ def test_pii_is_found_and_masked(spark):
     assert "@" not in out[3]["text"] and out[99]["text"] == texts[-1][1] and out[3]["n_chars"] == len(out[3]["text"])
 
 
+def test_cards_phones_and_prefixed_secrets_are_candidates():
+    def parts(text):
+        return [(text[a:b], k) for a, b, k in pii.candidates(text)]
+
+    for card in ("4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "3782 822463 10005"):
+        assert parts(f"pay by {card} now") == [(card, "CARD")]
+    for phone in ("+14155552671", "(415)555-2671", "(415) 555-2671", "+33 1 23 45 67 89", "01 23 45 67 89", "+1 415-555-2671", "+49 30 123456"):
+        assert parts(f"call {phone}, or write") == [(phone, "PHONE")]
+    for name in ("DB_PASSWORD=", "AWS_SECRET_ACCESS_KEY=", "auth_token=", "client_secret: ", "password="):
+        assert parts(f"set {name}s3cr3tV4lue99 here") == [("s3cr3tV4lue99", "SECRET")]
+
+
+def test_whole_cards_are_masked(spark):
+    texts = [(i, f"paid by card 4111 1111 1111 1111 and DB_PASSWORD=s3cr3tV4lue{i} then call +14155552671") for i in range(30)]
+    for r in pii.mask_pii(docs_of(spark, texts)).collect():
+        assert r["text"] == "paid by card [CARD] and DB_PASSWORD=[SECRET] then call [PHONE]"
+
+
 def test_gam_beats_chance_on_held_out():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((1500, 5))
