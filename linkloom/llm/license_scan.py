@@ -1,9 +1,10 @@
 """License notices found by conditional compression.
 
-Lines that mention licensing are grown to blocks of neighbouring text. A block is compressed
-with zstandard by itself and with each template as raw dictionary; templates are ranked by the
-share of the block's size that the dictionary saves. The best ones are confirmed by exact
-wording differences: the words that the block adds to and drops from the template.
+Mentions of licensing are grown to blocks of neighbouring text, across lines. A block, without
+comment markers, is compressed with zstandard by itself and with each template as raw
+dictionary; templates are ranked by the share of the block's size that the dictionary saves.
+The best ones, and all whose words the block holds, are confirmed by exact wording differences:
+the words that the block adds to and drops from the template.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -52,6 +54,8 @@ TRIGGER = r"(?i)licen[sc]|copyright|redistribut|permission is hereby|public doma
 SCHEMA = "doc_id long, block_start long, block_end long, license string, template long, saved double, words_added array<string>, words_dropped array<string>, confirmed boolean"
 
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
+#: What begins or ends a line of a comment.
+_COMMENT = re.compile(r"(?m)^[ \t]*(?:(?:/\*+|\*+/?|//+|#+|;+|--+|%+|<!--+|>+|(?:rem|REM|dnl)\b)[ \t]*)+|[ \t]*(?:\*+/|--+>)[ \t]*$")
 
 
 def words_of(text: str) -> list[str]:
@@ -70,16 +74,13 @@ def _compressors(templates: tuple, level: int) -> list:
 
 
 def spans(text: str, trigger: re.Pattern, context: int) -> list[tuple[int, int]]:
-    """Candidate blocks: each line with a trigger, cut to ``context`` characters (to whole words) before the first and after the last one; touching blocks are one."""
+    """Candidate blocks: ``context`` characters (to whole words) before and after each trigger, across lines; touching blocks are one."""
     out: list[list[int]] = []
     for m in trigger.finditer(text):
-        line_start = text.rfind("\n", 0, m.start()) + 1
-        line_end = text.find("\n", m.end())
-        line_end = len(text) if line_end < 0 else line_end
-        start, end = max(line_start, m.start() - context), min(line_end, m.end() + context)
-        while start > line_start and not text[start - 1].isspace():
+        start, end = max(0, m.start() - context), min(len(text), m.end() + context)
+        while start > 0 and not text[start - 1].isspace():
             start -= 1
-        while end < line_end and not text[end].isspace():
+        while end < len(text) and not text[end].isspace():
             end += 1
         if out and start <= out[-1][1]:
             out[-1][1] = max(end, out[-1][1])
@@ -89,57 +90,62 @@ def spans(text: str, trigger: re.Pattern, context: int) -> list[tuple[int, int]]
 
 
 def best_window(block: list[str], template: list[str]) -> tuple[int, int, int]:
-    """Length of a longest common subsequence of the template with the block, and the first and the end of the shortest run of the block's words that holds it (the earliest of the shortest)."""
-    # best[j] = (length, -start) for a subsequence of template[:j], where start is the latest possible
-    best = [(0, 0)] * (len(template) + 1)
-    found = (0, 0, 0, 0)
+    """The fewest words to add to and drop from the template to get a run of the block's words, and the first and the end of that run (the latest start, then the earliest end)."""
+    number = {w: k for k, w in enumerate(dict.fromkeys(template))}
+    wanted = np.array([number[w] for w in template])
+    # cost[j] = cost * one - start, for a run that ends here and template[:j]
+    one = len(block) + 1
+    down = np.arange(len(template) + 1) * one
+    cost = down.copy()
+    best, until = int(cost[-1]), 0
     for i, w in enumerate(block):
-        previous = best[0]
-        for j, t in enumerate(template, 1):
-            here = best[j]
-            if w == t:
-                length, start = previous
-                candidate = (length + 1, start if length else i)
-                if candidate[0] > here[0] or candidate[0] == here[0] and candidate[1] > here[1]:
-                    best[j] = candidate
-            if best[j - 1][0] > best[j][0] or best[j - 1][0] == best[j][0] and best[j - 1][1] > best[j][1]:
-                best[j] = best[j - 1]
-            previous = here
-        length, start = best[-1]
-        if length and (length, -(i + 1 - start)) > (found[0], -(found[2] - found[1]) if found[0] else -(10**9)):
-            found = (length, start, i + 1, 0)
-    return found[:3]
+        new = cost + one
+        new[0] = -(i + 1)
+        if w in number:
+            new[1:] = np.where(wanted == number[w], np.minimum(new[1:], cost[:-1]), new[1:])
+        cost = np.minimum.accumulate(new - down) + down
+        if cost[-1] < best and -(-cost[-1] // one) < -(-best // one):
+            best, until = int(cost[-1]), i + 1
+    changes = -(-best // one)
+    return changes, changes * one - best, until
 
 
 def scan(text: str, templates: tuple, trigger: re.Pattern, context: int, level: int, confirm_best: int, max_changed: float) -> list[tuple]:
-    """Rows for one text: (start, end, license, template, saved, added, dropped, confirmed), one for each block."""
+    """Rows for one text: (start, end, license, template, saved, added, dropped, confirmed): for each block one for each license confirmed in it, or the likeliest if there is none."""
     plain, with_dict = _compressors(templates, level)
     rows = []
     for start, end in spans(text, trigger, context):
-        block = text[start:end]
+        block = _COMMENT.sub("", text[start:end])
         data = block.encode()
         alone = len(plain.compress(data))
         ranked = sorted(((1 - len(c.compress(data)) / alone, name, k, words) for name, k, _, words, c in with_dict), key=lambda x: (-x[0], x[1], x[2]))
         block_words = words_of(block)
-        winner = None
-        for saved, name, k, template in ranked[:confirm_best]:
+        held = Counter(block_words)
+        compared = []
+        for rank, (saved, name, k, template) in enumerate(ranked):
+            wanted = Counter(template)
+            if rank >= confirm_best and (wanted - held).total() > max_changed * max(1, len(template)):
+                continue  # too many words are missing for it to be confirmed
             _, a, b = best_window(block_words, template)
-            inside, wanted = Counter(block_words[a:b]), Counter(template)
+            inside = Counter(block_words[a:b])
             added, dropped = sorted((inside - wanted).elements()), sorted((wanted - inside).elements())
             changed = (len(added) + len(dropped)) / max(1, len(template))
-            key = (changed > max_changed, changed, -saved)
-            if winner is None or key < winner[0]:
-                winner = (key, (start, end, name, k, round(saved, 6), added, dropped, changed <= max_changed))
-        rows.append(winner[1])
+            compared.append((changed > max_changed, changed, -saved, (inside & wanted).total() - len(added) - len(dropped), a, b, (start, end, name, k, round(saved, 6), added, dropped, changed <= max_changed)))
+        confirmed: list[tuple] = []
+        # where wordings of several licenses overlap, the one that explains most words holds
+        for x in sorted((x for x in compared if not x[0]), key=lambda x: (-x[3], *x[1:3], x[6][2:4])):
+            if all(x[6][2] != y[6][2] and (x[5] <= y[4] or y[5] <= x[4]) for y in confirmed):
+                confirmed.append(x)
+        rows += [x[6] for x in sorted(confirmed, key=lambda x: x[4])] or [min(compared, key=lambda x: x[:3])[6]]
     return rows
 
 
 def license_scan(docs: DataFrame, *, templates: dict[str, list[str]] | None = None, trigger: str = TRIGGER, context: int = 600, level: int = 3, confirm_best: int = 3, max_changed: float = 0.2) -> DataFrame:
-    """A row for each candidate block of every document, with the license whose template explains it best.
+    """A row for each license confirmed in each candidate block of every document; a block without one has a row with the license whose template explains it best.
 
     ``saved`` is the share of the block's compressed size that the template saves as raw
-    dictionary. The ``confirm_best`` templates that save most are compared word by word with the
-    best matching run of the block; ``confirmed`` if words added and dropped are at most
+    dictionary. The ``confirm_best`` templates that save most, and all that could be confirmed,
+    are compared word by word with the best matching run of the block; ``confirmed`` if words added and dropped are at most
     ``max_changed`` of the template's words. Positions count characters.
     Null and empty texts and texts without a trigger give no row; long texts are scanned whole;
     repeated rows give repeated results; a null doc_id stays null; an empty table gives an

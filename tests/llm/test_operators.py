@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -188,6 +189,16 @@ def test_license_notice_is_confirmed(spark):
     assert found[1] == ("MIT", True) and not found[2][1]
 
 
+def test_wrapped_and_joined_notices_are_confirmed(spark):
+    mit = license_scan.TEMPLATES["MIT"][2]
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"][1]
+    wrapped = [f"int x;\n/*\n{textwrap.indent(textwrap.fill(t, 76), ' * ')}\n */\nint main() {{}}" for t in (mit, bsd)]
+    both = f"{textwrap.indent(textwrap.fill(mit, 70), '# ')}\n\n{license_scan.TEMPLATES['Apache-2.0'][0]}\n"
+    found = {(r["doc_id"], r["license"], r["confirmed"]) for r in license_scan.license_scan(docs_of(spark, enumerate([*wrapped, both]))).collect()}
+    assert {(0, "MIT", True), (2, "MIT", True), (2, "Apache-2.0", True)} <= found
+    assert any(i == 1 and name.startswith("BSD") and sure for i, name, sure in found) and len(found) == 4
+
+
 def test_pii_is_found_and_masked(spark):
     texts = [(i, f"please write an email to user{i}@mail.example.com or call +1 415-555-{1000 + i}") for i in range(40)] + [(99, "version 1.2.3 section 4 has no such data")]
     d = docs_of(spark, texts)
