@@ -44,9 +44,58 @@ TEMPLATES: dict[str, list[str]] = {
     "BSD-3-Clause": [
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Licensed under the BSD 3-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ],
+    "BSD-2-Clause": [
+        "Licensed under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-4.0": [
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Licensed under CC BY 4.0.",
+    ],
+    "CC-BY-SA-4.0": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-SA 4.0.",
+    ],
+    "CC-BY-ND-4.0": [
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0.",
+    ],
+    "CC-BY-NC-4.0": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Licensed under CC BY-NC 4.0.",
+    ],
+    "CC-BY-NC-SA-4.0": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-NC-SA 4.0.",
+    ],
+    "CC-BY-NC-ND-4.0": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-NC-ND 4.0.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "Unlicense": [
+        "Released under the Unlicense.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. This work is dedicated to the public domain under CC0 1.0."],
 }
 #: A line can hold a notice only if one of these occurs in it.

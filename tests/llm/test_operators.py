@@ -199,6 +199,22 @@ def test_wrapped_and_joined_notices_are_confirmed(spark):
     assert any(i == 1 and name.startswith("BSD") and sure for i, name, sure in found) and len(found) == 4
 
 
+def test_common_licenses_have_templates(spark):
+    notices = {
+        "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "CC-BY-4.0": "Licensed under CC BY 4.0.",
+        "LGPL-2.1": license_scan.TEMPLATES.get("LGPL-2.1", ["x"])[-1],
+        "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+        "ISC": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "BSD-2-Clause": license_scan.TEMPLATES.get("BSD-2-Clause", ["x"])[-1],
+        "BSD-3-Clause": license_scan.TEMPLATES["BSD-3-Clause"][-1],
+        "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "GPL-3.0": license_scan.TEMPLATES["GPL-3.0"][0],
+    }
+    found = {(r["doc_id"], r["license"], r["confirmed"]) for r in license_scan.license_scan(docs_of(spark, enumerate(f"Some prose.\n{x}\nMore of it." for x in notices.values()))).collect()}
+    assert found == {(i, name, True) for i, name in enumerate(notices)}
+
+
 def test_pii_is_found_and_masked(spark):
     texts = [(i, f"please write an email to user{i}@mail.example.com or call +1 415-555-{1000 + i}") for i in range(40)] + [(99, "version 1.2.3 section 4 has no such data")]
     d = docs_of(spark, texts)
