@@ -11,8 +11,9 @@ documents to ranges of the hash space, where frequencies are counted over all do
 back. Grams that occur in one document only come first in its order and can match nothing, so
 they are counted but not carried further; most documents end there.
 
-Documents with equal sets are one record with a list of documents, so that large groups of
-copies cost no more than their members.
+Documents with equal sets are one record with their number, and the result has a row for each
+document, with its class and its number of links, so that large groups of copies cost no more
+than their members.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import SLICE_BYTES, buffers, cut, drop_cut, gram_hashes, mix, partitions, release, slices, word_hashes, words
+from linkloom.llm.links import classes, in_blocks, linked, pairs_of_lists
 
 _LOCAL = np.uint64(16)
 _MASK = np.uint64(0xFFFF)
@@ -237,113 +239,122 @@ def _since(threshold: float) -> Column:
     return F.greatest(F.lit(1).cast("long"), F.col("pos").cast("long") - shared_places + 2)
 
 
-def _candidates(whole: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, size_a, size_b) of sets that share enough grams of their prefixes, a < b.
+def _met(threshold: float, at_once: int = 250_000):
+    """Makes pairs of the entries of lists, with the number of grams that they meet in."""
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("met", pa.int64()), ("needed", pa.int64())])
 
-    Near duplicates share many grams, and these have the same lists of documents. Lists that
-    are equal are one list with a count before any pair is made of them.
-    """
-    code = F.shiftleft("size", 16) + F.shiftleft("level", 8) + _since(threshold)
-    postings = whole.select("id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram")).select("gram", F.struct("id", code.alias("code")).alias("entry"))
-    lists = postings.groupBy("gram").agg(F.array_sort(F.collect_list("entry")).alias("entries")).where(F.size("entries") > 1).groupBy("entries").agg(F.count(F.lit(1)).alias("n"))
-    lefts = lists.select("n", "entries", F.posexplode("entries").alias("at", "left"))
-    both = lefts.select("n", "left", F.explode(F.slice("entries", F.col("at") + 2, F.size("entries"))).alias("right"))
-
-    def part(side: str, shift: int, bits: int) -> Column:
-        return F.shiftright(F.col(side)["code"], shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-
-    size_a, size_b = (F.shiftright(F.col(x)["code"], 16) for x in ("left", "right"))
-    lower = F.least(part("left", 8, 8), part("right", 8, 8))
-    near = (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * F.lit(threshold) - F.lit(1e-9)) & (F.greatest(part("left", 0, 8), part("right", 0, 8)) <= lower)
-    met = both.where(near).groupBy(F.col("left.id").alias("a"), F.col("right.id").alias("b")).agg(F.sum("n").alias("met"), F.first(lower).alias("needed"), F.first(size_a).alias("size_a"), F.first(size_b).alias("size_b"))
-    return met.where("met >= needed").select("a", "b", "size_a", "size_b")
-
-
-def _verify(threshold: float):
-    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        release()
-        grams = {i: _from_six_bytes(b) for i, b in zip(sets.column("id").to_pylist(), sets.column("shared").to_pylist())}
-        a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
-        both = np.array([len(np.intersect1d(grams[x], grams[y], assume_unique=True)) for x, y in zip(a, b)], np.float64)
-        jaccard = both / (pairs.column("size_a").to_numpy() + pairs.column("size_b").to_numpy() - both)
-        keep = jaccard >= threshold - 1e-9
-        return pa.table({"a": pairs.column("a").filter(pa.array(keep)), "b": pairs.column("b").filter(pa.array(keep)), "jaccard": jaccard[keep]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("entries")
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            offsets -= offsets[0]
+            entries = lists.flatten()
+            ids, code, block = (np.asarray(entries.field(k)) for k in range(3))
+            size, level, since = code >> 16, (code >> 8) & 255, code & 255
+            apart, n = np.asarray(batch.column("apart").cast(pa.int8())).astype(bool), batch.column("n").to_numpy()
+            for of, i, j in pairs_of_lists(offsets, at_once):
+                lower = np.minimum(level[i], level[j])
+                keep = (np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9) & (np.maximum(since[i], since[j]) <= lower)
+                keep &= ~apart[of] | (block[i] != block[j])
+                of, i, j, lower = of[keep], i[keep], j[keep], lower[keep]
+                a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+                order = np.lexsort((b, a))
+                a, b, lower, met = a[order], b[order], lower[order], n[of][order]
+                first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
+                if len(first):
+                    yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.add.reduceat(met, first)), pa.array(lower[first].astype(np.int64))], schema=fields)
+            release()
 
     return run
 
 
-def _verified(found: DataFrame, sets: DataFrame, keys: DataFrame, threshold: float, pairs_at_once: int) -> DataFrame:
-    """(a, b, jaccard) of the candidates that reach the threshold.
+def _candidates(whole: DataFrame, threshold: float, list_at_once: int) -> DataFrame:
+    """(a, b) of sets that share enough grams of their prefixes, a < b.
 
-    Candidates go in groups by the smallest partner of ``a``, so that the set of a document is
-    sent once for a whole group of near duplicates. Groups with many pairs are split by ``a``.
+    Near duplicates share many grams, and these have the same lists of documents. Lists that
+    are equal are one list with a count before any pair is made of them.
     """
-    least = found.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("least"))
-    grouped = found.join(least, "a", "left").withColumn("group", F.coalesce("least", "a")).drop("least")
-    split = grouped.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(pairs_at_once)).alias("splits")).where("splits > 1")
-    grouped = grouped.join(split, "group", "left").withColumn("split", F.coalesce(F.pmod(F.xxhash64("a"), "splits"), F.lit(0).cast("long"))).drop("splits")
-    needed = grouped.select(F.col("group").alias("of"), F.col("split").alias("part"), F.explode(F.array("a", "b")).alias("id")).distinct().join(keys, "id").join(sets.select("id", "key1", "key2", "shared"), ["id", "key1", "key2"]).drop("key1", "key2")
-    return grouped.groupBy("group", "split").cogroup(needed.groupBy("of", "part")).applyInArrow(_verify(threshold), "a long, b long, jaccard double")
-
-
-def ngram_jaccard_pairs(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20, pairs_at_once: int = 500_000) -> DataFrame:
-    """Pairs of different gram sets with Jaccard similarity of at least ``threshold``, and groups of documents with equal sets.
-
-    Columns: left_id, right_id (the smallest doc_id of each set), left_ids, right_ids (all
-    documents of each set, sorted) and jaccard. Every document of left_ids is a match of every
-    one of right_ids. In a row with left_id = right_id and jaccard 1 the two lists are the
-    same: the documents of one set, two at least. In other rows left_id < right_id.
+    postings = whole.select("id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram"))
+    code = F.shiftleft("size", 16) + F.shiftleft("level", 8) + _since(threshold)
+    lists = in_blocks(postings, "gram", code, list_at_once).groupBy("apart", "entries").agg(F.count(F.lit(1)).alias("n"))
+    met = lists.mapInArrow(_met(threshold), "a long, b long, met long, needed long").groupBy("a", "b").agg(F.sum("met").alias("met"), F.first("needed").alias("needed"))
+    return met.where("met >= needed").select("a", "b")
+
+
+def _similar(threshold: float):
+    """Which pairs of sets reach the threshold. A payload is the size of the set and its shared grams."""
+
+    def judge(payload: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        size = np.array([int.from_bytes(p[:8], "big") for p in payload], np.int64)
+        grams = [_from_six_bytes(p[8:]) for p in payload]
+        count = np.array([len(g) for g in grams], np.int64)
+        start = np.cumsum(count) - count
+        every = np.concatenate(grams)
+        del grams
+        code = np.unique(every, return_inverse=True)[1].astype(np.int32)
+        del every
+        held = np.zeros(int(code.max()) + 1 if len(code) else 0, bool)
+        order = np.argsort(a, kind="stable")
+        edge = np.flatnonzero(np.r_[True, a[order][1:] != a[order][:-1], True])
+        both = np.zeros(len(a), np.int64)
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            own = code[start[a[order[lo]]] : start[a[order[lo]]] + count[a[order[lo]]]]
+            held[own] = True
+            for at in range(lo, hi, 512):
+                partners = b[order[at : min(at + 512, hi)]]
+                n = count[partners]
+                ends = np.cumsum(n)
+                place = np.repeat(start[partners] - (ends - n), n) + np.arange(ends[-1])
+                sums = np.r_[0, np.cumsum(held[code[place]])]
+                both[order[at : min(at + 512, hi)]] = sums[ends] - sums[ends - n]
+            held[own] = False
+        return both >= threshold * (size[a] + size[b] - both) - 1e-9
+
+    return judge
+
+
+def ngram_jaccard_classes(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20, list_at_once: int = 2048, pairs_at_once: int = 250_000) -> DataFrame:
+    """(doc_id, class_id, n_links): a row for each document with a link to another one.
+
+    Two documents are linked if the Jaccard similarity of their gram sets is ``threshold`` at
+    least; all links are found. ``n_links`` counts a document's links, copies included.
+    Documents that links lead to, over others too, are a class; ``class_id`` is its smallest
+    doc_id. A document without a link has no row.
 
     Grams are runs of ``n`` words of the lower-cased text; a text with fewer words is one gram
     of them all; repeated grams count once. ``most_shared`` bounds the levels that a document
     chooses from, ``verify_cost`` weighs a verification against a posting; neither changes the
-    result, nor do ``chunk_bytes`` and ``pairs_at_once``, which bound the memory of a task. Grams
-    are compared by 48 bits of a hash.
+    result, nor do ``chunk_bytes``, ``list_at_once`` and ``pairs_at_once``, which bound the
+    memory of a task. Grams are compared by 48 bits of a hash: two texts of a thousand grams
+    each have a chance of 4e-9 that grams which differ count as shared, at any size of the corpus.
 
     Texts without a word, null texts and null doc_ids match nothing. Repeated rows count once;
-    of a doc_id with several texts one text that could match is used. An empty table gives an empty result; other columns are ignored.
+    of a doc_id with several texts one text that could match is used. An empty table gives an
+    empty result; other columns are ignored.
     """
     if not 0 < threshold <= 1 or n < 1 or not 1 <= most_shared < 256:
         raise ValueError("threshold must be in (0, 1], n positive, most_shared from 1 to 255")
     sets = gram_sets(docs, n=n, threshold=threshold, most=most_shared, verify_cost=verify_cost, chunk_bytes=chunk_bytes)
-    own = sets.groupBy("id").agg(F.min(F.struct("key1", "key2")).alias("key"))
-    members = cut(own.groupBy("key").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")))
+    own = sets.groupBy("id").agg(F.min(F.struct("key1", "key2")).alias("key")).select("id", "key.*")
+    # documents with equal sets are one record from here on
+    equal = cut(own.groupBy("key1", "key2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")))
+    firsts = equal.select(F.col("first").alias("id"), "key1", "key2", "copies")
     # the sets themselves travel once, when pairs are verified; until then there are only their prefixes
-    keys = members.select("id", F.col("key.key1").alias("key1"), F.col("key.key2").alias("key2"))
-    whole = sets.drop("shared").join(keys, ["id", "key1", "key2"], "left_semi").dropDuplicates(["id"])
-    found = cut(_candidates(whole, threshold))
-    similar = _verified(found, sets, keys, threshold, pairs_at_once)
-    l, r = (members.select(F.col("id").alias(i), F.col("ids").alias(f"ids_{i}")) for i in "ab")
-    pairs = similar.join(l, "a").join(r, "b").select(F.col("a").alias("left_id"), F.col("b").alias("right_id"), F.col("ids_a").alias("left_ids"), F.col("ids_b").alias("right_ids"), F.round("jaccard", 6).alias("jaccard"))
-    equal = members.where(F.size("ids") > 1).select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.col("ids").alias("left_ids"), F.col("ids").alias("right_ids"), F.lit(1.0).alias("jaccard"))
-    return pairs.unionByName(equal)
+    whole = sets.drop("shared").join(firsts, ["id", "key1", "key2"], "left_semi").dropDuplicates(["id"])
+    found = cut(_candidates(whole, threshold, list_at_once))
+    payload = F.concat(F.to_binary(F.lpad(F.hex("size"), 16, "0"), F.lit("hex")), F.col("shared"))
 
+    def with_payload(needed: DataFrame) -> DataFrame:
+        return needed.join(firsts, "id").join(sets.select("id", "key1", "key2", "size", "shared"), ["id", "key1", "key2"]).select("of", "id", F.col("copies").alias("weight"), payload.alias("payload"))
 
-def components(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
-    """(id, group): for each id of the edges (a, b), the smallest id that it is connected with.
-
-    Alternating large-star and small-star contraction; each round's edges are cut to the
-    shared folder. The number of rounds grows with the logarithm of a component's size.
-    """
-    now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    for _ in range(most_rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        last, now = now, cut(small)
-        drop_cut(last)
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if state == before:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("group")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct())
-        before = state
-    raise RuntimeError(f"components didn't settle within {most_rounds} rounds")
+    near = classes(linked(found, with_payload, _similar(threshold), pairs_at_once)).withColumnRenamed("id", "first")
+    rows = own.join(equal, ["key1", "key2"]).join(near, "first", "left")
+    out = cut(rows.select(F.col("id").alias("doc_id"), F.coalesce("class_id", "first").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")).where("n_links > 0"))
+    for done in (sets, equal, found):
+        drop_cut(done)
+    return out
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """(id, group) of every document that has a match by ``ngram_jaccard_pairs``; group is the smallest doc_id that matches lead to."""
-    found = cut(ngram_jaccard_pairs(docs, **options))
-    copies = found.where("left_id = right_id").select(F.col("left_id").alias("a"), F.explode("left_ids").alias("b"))
-    return components(copies.unionByName(found.where("left_id <> right_id").select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))))
+    """(id, group) of every document that ``ngram_jaccard_classes`` has a row for; group is its class."""
+    return ngram_jaccard_classes(docs, **options).select(F.col("doc_id").alias("id"), F.col("class_id").alias("group"))

@@ -10,7 +10,7 @@ from linkloom.llm.common import table
 from linkloom.llm.decontamination import benchmark_hits
 from linkloom.llm.language_id import language_ids
 from linkloom.llm.license_scan import license_scan
-from linkloom.llm.ngram_join import ngram_jaccard_pairs
+from linkloom.llm.ngram_join import ngram_jaccard_classes
 from linkloom.llm.packing import best_fit_packing
 from linkloom.llm.pii import pii_spans
 from linkloom.llm.pitman_yor import perplexities
@@ -24,7 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_perplexity": lambda s, d: perplexities(table(s, d, "documents")),
         "op2_pii_spans": lambda s, d: pii_spans(table(s, d, "documents")),
         "op3_language_id": lambda s, d: language_ids(table(s, d, "documents")),
-        "op4_ngram_jaccard": lambda s, d: ngram_jaccard_pairs(table(s, d, "documents")),
+        "op4_ngram_jaccard": lambda s, d: ngram_jaccard_classes(table(s, d, "documents")),
         "op5_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
         "op6_benchmark_hits": lambda s, d: benchmark_hits(table(s, d, "documents"), table(s, d, "benchmark")),
         "op7_embedding_pairs": lambda s, d: embedding_pairs(table(s, d, "embeddings")),
