@@ -14,7 +14,7 @@ from linkloom.llm.ngram_join import ngram_jaccard_classes
 from linkloom.llm.packing import best_fit_packing
 from linkloom.llm.pii import pii_spans
 from linkloom.llm.pitman_yor import perplexities
-from linkloom.llm.pivot_index import embedding_pairs
+from linkloom.llm.pivot_index import embedding_classes
 from linkloom.llm.quality_gam import quality_scores
 from linkloom.llm.token_counts import token_counts
 
@@ -27,7 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ngram_jaccard": lambda s, d: ngram_jaccard_classes(table(s, d, "documents")),
         "op5_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
         "op6_benchmark_hits": lambda s, d: benchmark_hits(table(s, d, "documents"), table(s, d, "benchmark")),
-        "op7_embedding_pairs": lambda s, d: embedding_pairs(table(s, d, "embeddings")),
+        "op7_embedding_pairs": lambda s, d: embedding_classes(table(s, d, "embeddings")),
         "op8_token_counts": lambda s, d: token_counts(table(s, d, "documents")),
         "op9_quality_scores": lambda s, d: quality_scores(table(s, d, "documents"), table(s, d, "labels")),
         "op10_best_fit_packing": lambda s, d: best_fit_packing(table(s, d, "documents")),
