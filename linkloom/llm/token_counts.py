@@ -3,6 +3,9 @@
 A text is cut into pieces by the vocabulary's pattern. Within a piece the adjacent pair of
 lowest rank is popped from a heap and merged in a linked list, again and again; a piece has as
 many tokens as bytes minus merges. No identifiers are made.
+
+Texts are cut at single spaces in Arrow, and each different word of a slice of texts is counted
+once. Counts of words and pieces are remembered by a worker.
 """
 
 from __future__ import annotations
@@ -12,15 +15,18 @@ from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 from math import nan
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from linkloom.llm.common import release, slices, text_or_empty
 
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
-_counters: dict[tuple, Callable[[str], int]] = {}
+_counters: dict[tuple, Callable[[pa.Array], np.ndarray]] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,13 +74,13 @@ def tokens_in_piece(piece: bytes, ranks: dict[bytes, int]) -> int:
     return n - merges
 
 
-def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 1_200_000, cut_at_spaces: bool = True) -> Callable[[str], int]:
-    """Counts the tokens of a text. Counts of pieces are remembered, up to so many at a time.
+def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 1_200_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
+    """Counts the tokens of each of an array of texts. Counts of pieces are remembered, up to so many at a time.
 
-    ``cut_at_spaces``: cuts a text at each single space before the pattern is applied, so that
-    most texts need one look-up a word. Right for patterns whose pieces hold a space only as
-    their first character, such as the default one. Texts where white space meets white space
-    are not cut.
+    ``cut_at_spaces``: cuts texts at each single space before the pattern is applied, so that
+    most need one look-up for each different word. Right for patterns whose pieces hold a space
+    only as their first character, such as the default one. Texts where white space meets white
+    space are not cut.
     """
     find = regex.compile(pattern).findall
 
@@ -86,7 +92,7 @@ def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 1
             return n
 
     class Words(dict):
-        def __missing__(self, word: str) -> int:
+        def __missing__(self, word: str) -> float:
             if len(self) >= remembered:
                 self.clear()
             # not a number where white space would meet the space that was cut out
@@ -97,23 +103,54 @@ def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 1
     of_piece = Pieces().__getitem__
     of_word = Words().__getitem__
 
-    def count(text: str) -> int:
-        if cut_at_spaces:
-            first, *rest = text.split(" ")
-            if first and not first[-1].isspace() and (n := sum(map(of_word, rest))) == n:
-                return sum(map(of_piece, find(first))) + n
+    def whole(text: str) -> int:
         return sum(map(of_piece, find(text)))
 
+    def beginning(word: str) -> float:
+        return whole(word) if word and not word[-1].isspace() else nan
+
+    def of_different(values: pa.Array, n: Callable[[str], float]) -> np.ndarray:
+        different = pc.dictionary_encode(values)
+        known = np.array(list(map(n, different.dictionary.to_pylist())), np.float64)
+        return known[np.asarray(different.indices)]
+
+    def count(texts: pa.Array) -> np.ndarray:
+        if not len(texts):
+            return np.zeros(0, np.int64)
+        if not cut_at_spaces:
+            return np.array([whole(t) for t in texts.to_pylist()], np.int64)
+        lists = pc.split_pattern(texts, " ")
+        values, start = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        start = start - start[0]
+        first = np.zeros(len(values), bool)
+        first[start[:-1]] = True
+        n = np.empty(len(values))
+        n[first] = of_different(values.filter(pa.array(first)), beginning)
+        n[~first] = of_different(values.filter(pa.array(~first)), of_word)
+        sums = np.add.reduceat(n, start[:-1])
+        for k in np.flatnonzero(np.isnan(sums)).tolist():
+            sums[k] = whole(texts[k].as_py())
+        return sums.astype(np.int64)
+
     return count
 
 
-def _counter(path: str, *options: str | int | bool) -> Callable[[str], int]:
+def _counter(path: str, *options: str | int | bool) -> Callable[[pa.Array], np.ndarray]:
     key = (path, *options)
     if key not in _counters:
         _counters[key] = counter(read_ranks(path), *options)
     return _counters[key]
 
 
+def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remembered: int = 1_200_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
+    """The counter for a vocabulary file, made where the work is done and kept by the worker."""
+
+    def count(texts: pa.Array) -> np.ndarray:
+        return _counter(ranks_path, pattern, remembered, cut_at_spaces)(texts)
+
+    return count
+
+
 def token_counts(docs: DataFrame, *, ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, cut_at_spaces: bool = True, remembered: int = 1_200_000) -> DataFrame:
     """(doc_id, n_tokens) for each row of ``docs``, over its whole text.
 
@@ -122,11 +159,12 @@ def token_counts(docs: DataFrame, *, ranks_path: str = DEFAULT_RANKS, pattern: s
     empty texts have 0 tokens; a null doc_id stays null; repeated rows are counted each; an
     empty table gives an empty result; other columns are ignored.
     """
+    n = token_counter(ranks_path, pattern, remembered, cut_at_spaces)
 
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        n = _counter(ranks_path, pattern, remembered, cut_at_spaces)
-        for s in batches:
-            yield pd.Series([n(t) if t else 0 for t in s], dtype="int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n(part.column("text")))], ["doc_id", "n_tokens"])
+            release()
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(count(docs["text"]), F.lit(0)).cast("long").alias("n_tokens"))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs["text"]).alias("text")).mapInArrow(run, "doc_id long, n_tokens long")
