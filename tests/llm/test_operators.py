@@ -3,6 +3,7 @@
 import itertools
 import random
 import textwrap
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,10 @@ def items(spark):
 
 def operators(labels, items):
     return {
-        "perplexity": lambda d: pitman_yor.perplexities(d, rounds=1, sweeps=1, samples=1),
+        "perplexity": lambda d: pitman_yor.perplexities(d, rounds=2, sweeps=1, samples=1),
         "pii": pii.pii_spans,
         "language": lambda d: language_id.language_ids(d, steps=2),
-        "ngram": ngram_join.ngram_jaccard_pairs,
+        "ngram": ngram_join.ngram_jaccard_classes,
         "license": license_scan.license_scan,
         "benchmark": lambda d: decontamination.benchmark_hits(d, items),
         "tokens": token_counts.token_counts,
@@ -54,26 +55,54 @@ def test_odd_rows_and_empty_tables(spark, odd, labels, items, name, n):
     found = run(odd).collect()
     assert n is None or len(found) == n
     if name == "packing":
-        assert sum(r["n_bytes"] for r in found) == sum(len((r["text"] or "").encode()) + 1 for r in odd.collect())
+        count = brute_counter()
+        assert sum(r["n_tokens"] for r in found) == sum(count(r["text"] or "") + 1 for r in odd.collect())
     assert run(odd.where("1 = 0")).count() == 0
 
 
 def test_odd_vectors(spark):
     v = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.001]), (4, None), (None, [1.0, 0.0]), (5, []), (6, [0.0, 0.0]), (7, [float("nan"), 1.0]), (8, [1.0]), (9, [0.0, 1.0])]
     df = spark.createDataFrame([(i, x, "clash") for i, x in v], "vec_id long, embedding array<float>, ids string")
-    found = {(tuple(r["left_ids"]), tuple(r["right_ids"])) for r in pivot_index.embedding_pairs(df).collect()}
-    assert found == {((1, 2), (1, 2)), ((1, 2), (3,))}
-    assert pivot_index.embedding_pairs(df.where("1 = 0")).count() == 0
+    found = {(r["vec_id"], r["class_id"], r["n_links"]) for r in pivot_index.embedding_classes(df).collect()}
+    assert found == {(1, 1, 2), (2, 1, 2), (3, 1, 2)}
+    assert pivot_index.embedding_classes(df.where("1 = 0")).count() == 0
+    assert pivot_index.embedding_classes(df.where("vec_id = 9")).count() == 0
 
 
-def test_pivot_index_recall(spark):
-    rng = np.random.default_rng(3)
-    base = rng.standard_normal((150, 32))
-    x = np.concatenate([base, base[:80] + 0.04 * rng.standard_normal((80, 32))]).astype(np.float32)
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    want = {(i, j) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.95)) if i < j}
-    found = {(r["left_id"], r["right_id"]) for r in pivot_index.embedding_pairs(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")).collect()}
-    assert found <= want and len(found) >= 0.9 * len(want) > 50
+def vectors_of(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+
+
+def near_vectors(kind, n, seed):
+    """Unit vectors, half of them at a cosine of 0.95 or a bit more from another; clustered ones have centres at 0.8; hot ones are all near one."""
+    rng = np.random.default_rng(seed)
+
+    def unit(z):
+        return z / np.linalg.norm(z, axis=1, keepdims=True)
+
+    base = unit(rng.standard_normal((n, 48)))
+    if kind == "clustered":
+        base = unit(np.sqrt(0.2) * base + np.sqrt(0.8) * unit(rng.standard_normal((8, 48)))[rng.integers(0, 8, n)])
+    if kind == "hot":
+        base[: n // 2] = base[0]
+    other = rng.standard_normal((n, 48))
+    other = unit(other - (other * base).sum(1, keepdims=True) * base)
+    c = rng.uniform(0.951, 0.99, (n, 1))
+    return np.concatenate([base, c * base + np.sqrt(1 - c * c) * other]).astype(np.float32)
+
+
+@pytest.mark.parametrize("kind", ["isotropic", "clustered", "hot"])
+def test_pivot_index_recall(spark, kind):
+    x = near_vectors(kind, 1500, 3)
+    unit = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.95
+    np.fill_diagonal(close, False)
+    want = close.sum(1)
+    found = {r["vec_id"]: (r["class_id"], r["n_links"]) for r in pivot_index.embedding_classes(vectors_of(spark, x), list_at_once=64, pairs_at_once=5000).collect()}
+    assert all(n <= want[i] for i, (_, n) in found.items())
+    assert sum(n for _, n in found.values()) >= 0.95 * want.sum() and len(found) >= 0.95 * (want > 0).sum() > 1000
+    true = brute_classes({(i, j) for i, j in zip(*np.nonzero(close)) if i < j}) if kind == "isotropic" else {}
+    assert all(found[i][0] == true[i][0] for i in true if i in found and all(j in found for j in np.flatnonzero(close[i])) and found[i][1] == true[i][1]) or kind != "isotropic"
 
 
 def grams(text, n=3):
@@ -81,6 +110,22 @@ def grams(text, n=3):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
 
 
+def brute_classes(pairs):
+    """The smallest member of each one's class, and its number of links."""
+    group = {x: x for p in pairs for x in p}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            least = min(group[a], group[b])
+            changed |= (group[a], group[b]) != (least, least)
+            group[a] = group[b] = least
+    links = {x: 0 for x in group}
+    for a, b in pairs:
+        links[a], links[b] = links[a] + 1, links[b] + 1
+    return {x: (group[x], links[x]) for x in group}
+
+
 def test_ngram_join_is_exact(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(rng.randrange(5, 60))) for _ in range(40)]
@@ -90,14 +135,13 @@ def test_ngram_join_is_exact(spark):
             w[rng.randrange(len(w))] = "x"
             texts.append(" ".join(w))
     texts += texts[:5] + ["short", "short", "one two", "One  two"]
-    got = set()
-    for r in ngram_join.ngram_jaccard_pairs(docs_of(spark, list(enumerate(texts)))).collect():
-        got |= {(min(a, b), max(a, b)) for a in r["left_ids"] for b in r["right_ids"] if a != b}
     sets = [grams(t) for t in texts]
     want = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j])}
-    assert got == want
+    for sizes in ({}, {"list_at_once": 2, "pairs_at_once": 3, "chunk_bytes": 500}):
+        found = ngram_join.ngram_jaccard_classes(docs_of(spark, list(enumerate(texts))), **sizes).collect()
+        assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == brute_classes(want) and len(found) == len({x for p in want for x in p})
     groups = {r["id"]: r["group"] for r in ngram_join.near_duplicates(docs_of(spark, list(enumerate(texts)))).collect()}
-    assert all(groups[a] == groups[b] for a, b in want) and all(g == min(k for k in groups if groups[k] == g) for g in groups.values())
+    assert groups == {k: g for k, (g, _) in brute_classes(want).items()}
 
 
 def test_six_bytes_round_trip():
@@ -135,7 +179,25 @@ def test_packing_against_brute_force():
     rng = random.Random(1)
     for _ in range(30):
         lengths = [rng.randrange(0, 140) for _ in range(120)]
-        assert packing.pack(lengths, 100, 5) == brute_pack(lengths, 100, 5)
+        packer = packing.Packer(100, 5)
+        assert [(k, *x) for k, n in enumerate(lengths) for x in packer.place(n)] == brute_pack(lengths, 100, 5)
+
+
+def test_packing_query_against_brute_force(spark):
+    """Every shard of the query, in its order, packed by the plain version from token counts made one by one."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(docs_of(spark, [(7, "again"), (7, "again"), (None, "x"), (None, None), (8, LONG)]).select("doc_id", "text", "lang", "source", "n_chars"))
+    options = {"capacity": 700, "open_bins": 3, "shards": 4}
+    count = brute_counter()
+    rows = docs.selectExpr("doc_id", "text", "coalesce(text, '') as t").selectExpr("doc_id", "t", "xxhash64(t) as tie", "pmod(xxhash64(doc_id, xxhash64(t)), 4) as shard").collect()
+    want = []
+    for shard in range(4):
+        own = sorted((r["doc_id"] is not None, r["doc_id"] or 0, count(r["t"]) + 1, r["tie"]) for r in rows if r["shard"] == shard)
+        want += [(own[i][1] if own[i][0] else None, piece, b + (shard << 32), at, n) for i, piece, b, at, n in brute_pack([x[2] for x in own], 700, 3)]
+    found = [tuple(r) for r in packing.best_fit_packing(docs, **options).collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    full = packing.packed_documents(docs.withColumn("size", F.lit("clash")).withColumn("row", F.lit(1)), **options)
+    assert full.columns == [*docs.columns, "size", "row", "pieces"]
+    assert sorted((tuple(x) for r in full.collect() for x in [(r["doc_id"], *p) for p in r["pieces"]]), key=repr) == sorted(want, key=repr)
 
 
 def brute_tokens(piece, ranks):
@@ -147,11 +209,28 @@ def brute_tokens(piece, ranks):
         parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
 
 
-def test_token_counts_against_brute_force():
+def brute_counter():
     ranks = token_counts.read_ranks(token_counts.DEFAULT_RANKS)
-    count = token_counts.counter(ranks)
-    for t in ["Hello  world, it's 2024!\n\n x", "naïve café — ünïcödé", "aaaaaaaaaa bbbbbbb", " lead", "trail ", "internationalization of tokenizers"]:
-        assert count(t) == sum(brute_tokens(p.encode(), ranks) for p in token_counts.regex.findall(token_counts.PATTERN, t))
+    known = {}
+
+    def of_piece(piece):
+        if piece not in known:
+            known[piece] = brute_tokens(piece.encode(), ranks)
+        return known[piece]
+
+    return lambda t: sum(of_piece(p) for p in token_counts.regex.findall(token_counts.PATTERN, t))
+
+
+def test_token_counts_against_brute_force(spark):
+    """The query over whole tables and over odd texts, each piece merged pair by pair."""
+    rng = random.Random(9)
+    odd = ["Hello  world, it's 2024!\n\n x", "naïve café — ünïcödé", "aaaaaaaaaa bbbbbbb", " lead", "trail ", "internationalization of tokenizers", "", " ", "a \n b", "a\u00a0 b", "x\ty z", None]
+    odd += ["".join(rng.choice(" \n\tab1é'.,  \u2003") for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(odd, 10**6)), "doc_id long, text string"))
+    count = brute_counter()
+    found = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs).collect()}
+    assert found == {r["doc_id"]: count(r["text"] or "") for r in docs.collect()}
+    assert found == {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, cut_at_spaces=False).collect()}
 
 
 def test_block_max_wand_retrieves_all():
@@ -242,6 +321,53 @@ def test_whole_cards_are_masked(spark):
         assert r["text"] == "paid by card [CARD] and DB_PASSWORD=[SECRET] then call [PHONE]"
 
 
+def test_false_candidates_are_refused(spark):
+    """True spans beside false ones of the same kinds; no label is given."""
+    rng = random.Random(3)
+    true = [f"login from ip {rng.randrange(11, 120)}.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(1, 255)} and mail user{i}@mail{i % 7}.example.com" for i in range(60)]
+    true += [f"ssn 123-4{rng.randrange(10)}-{rng.randrange(1000, 9999)} is on file" for _ in range(40)]
+    false = ["server at 127.0.0.1", "uses version 1.2.3.4 now", "on host 192.168.0.12", "isbn 123-45-6789 in print", "password=changeme", "see 10.0.0.7"]
+    found = {}
+    for r in pii.pii_spans(docs_of(spark, enumerate([*true, *false]))).collect():
+        found.setdefault(r["doc_id"], []).append(r["is_pii"])
+    assert all(all(found[i]) for i in range(len(true))) and sum(map(len, found.values())) >= 160
+    assert not any(any(found.get(i, [])) for i in range(len(true), len(true) + len(false)))
+
+
+def test_names_addresses_and_birth_dates(spark):
+    texts = ["please contact Maria Gonzalez at 221 Baker Street, born 12/04/1971, today", "Dear Dr. Weber, your order", "the Michael Faraday Institute is open", "in 1998 Some Words Street"]
+    d = docs_of(spark, [(k, texts[k % 4]) for k in range(48) if k % 4 < 2 or k < 4])
+    found = {}
+    for r in pii.pii_spans(d).where("is_pii").collect():
+        found.setdefault(r["doc_id"] % 4, set()).add((r["kind"], texts[r["doc_id"] % 4][r["span_start"] : r["span_end"]]))
+    assert found[0] == {("NAME", "Maria Gonzalez"), ("ADDRESS", "221 Baker Street"), ("BIRTH_DATE", "12/04/1971")}
+    assert found[1] == {("NAME", "Dr. Weber")} and 2 not in found
+
+
+def test_long_unbroken_text_takes_linear_time():
+    for unit in ("a", "ab.", "1", "A1", "a-", "@", "a@", "eyJ-"):
+        took = []
+        for size in (10_000, 40_000):
+            text = unit * (size // len(unit))
+            began = time.process_time()
+            pii.candidates(text)
+            took.append(time.process_time() - began)
+        assert took[1] < 9 * took[0] + 0.05, unit
+
+
+def test_expectation_maximisation_finds_the_rates():
+    """Votes drawn from known rates: the estimate comes close to them and to the truth."""
+    rng = np.random.default_rng(4)
+    truth = rng.random(20_000) < 0.7
+    for_true, for_false = np.array([0.9, 0.97, 0.85, 0.95, 0.9]), np.array([0.6, 0.1, 0.3, 0.2, 0.5])
+    v = np.where(rng.random((20_000, 5)) < np.where(truth[:, None], for_true, for_false), 1, -1) * (rng.random((20_000, 5)) < 0.7)
+    counter = np.where(rng.random(20_000) < np.where(truth, 0.01, 0.5), -1, 0)
+    codes, inverse, counts = np.unique([pii._code(r) for r in np.c_[v, counter].tolist()], return_inverse=True, return_counts=True)
+    posterior, share, rates = pii.estimate(codes, counts.astype(float), anchor=0)
+    assert share == pytest.approx(0.7, abs=0.03) and np.abs(rates[:5, 0] - for_true).max() < 0.03 and np.abs(rates[:5, 1] - for_false).max() < 0.08
+    assert ((posterior[inverse] > 0.5) == truth).mean() > 0.93
+
+
 def test_gam_beats_chance_on_held_out():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((1500, 5))
@@ -283,26 +409,120 @@ def test_languages_are_told_apart(spark):
     assert np.mean([r["lang"] == r["truth"] for r in found]) > 0.9
 
 
-def brute_tables(c, others, p, strength, discount):
-    s = pitman_yor.log_stirling(discount, 8)
-    w = np.array([np.exp(s[c, t - 1]) * np.prod([strength + discount * (others + i) for i in range(t)]) * p**t for t in range(1, c + 1)])
+def brute_tables(c, others, p, strength, discount, stirling):
+    t = np.arange(1, c + 1)
+    w = stirling[c, :c] + np.cumsum(np.log(strength + discount * (others + t - 1))) + t * np.log(p)
+    w = np.exp(w - w.max())
     return w / w.sum()
 
 
-def test_table_counts_follow_their_distribution():
+@pytest.mark.parametrize("c,others,p", [(4, 2, 0.3), (40, 5, 0.02), (300, 2, 0.3), (420, 50, 0.001), (300, 0, 1e-6), (400, 3000, 0.2)])
+def test_table_counts_follow_their_distribution(c, others, p):
+    """Exact up to 256 customers; beyond, the approximation against the exact weights."""
     rng = np.random.default_rng(1)
-    n, c = 20_000, 4
-    t = pitman_yor.sample_tables(np.full(n, c), np.full(n, 2), np.full(n, 0.3), 1.0, 0.5, pitman_yor.log_stirling(0.5), rng)
-    assert np.bincount(t, minlength=c + 1)[1:] / n == pytest.approx(brute_tables(c, 2, 0.3, 1.0, 0.5), abs=0.02)
-
-
-def test_predictive_probabilities_sum_to_one_and_help(spark):
-    d = docs_of(spark, [(i, "the cat sat on the mat and the dog sat on the log " * 5) for i in range(5)] + [(9, "zqxj vkwp qzzx jjkq")])
-    root, rows = pitman_yor.train(d, rounds=2, sweeps=1, samples=1)
-    p = 2.0 ** pitman_yor.lookup(root, rows).reshape(-1, 64).astype(np.float64)
-    assert p.sum(1) == pytest.approx(np.ones(len(p)), abs=0.02)
-    found = {r["doc_id"]: r["perplexity"] for r in pitman_yor.perplexities(d, rounds=2, sweeps=1, samples=1).collect()}
-    assert found[0] < found[9] < 64
+    n = 20_000
+    t = pitman_yor.sample_tables(np.full(n, c), np.full(n, others), np.full(n, p), 1.0, 0.5, pitman_yor.log_stirling(0.5), rng)
+    want = brute_tables(c, others, p, 1.0, 0.5, pitman_yor.log_stirling(0.5, 420))
+    at = np.arange(1, c + 1)
+    mean, deviation = (at * want).sum(), np.sqrt((at**2 * want).sum() - (at * want).sum() ** 2)
+    assert t.mean() == pytest.approx(mean, abs=0.06 * deviation + 0.02, rel=0.01) and t.std() == pytest.approx(deviation, abs=0.03, rel=0.1)
+    assert 0.5 * np.abs(np.bincount(t, minlength=c + 1)[1 : c + 1] / n - want).sum() < (0.05 if c <= 256 else 0.1)
+
+
+def test_seating_follows_the_joint_distribution():
+    rng = np.random.default_rng(2)
+    n, c, p, strength, discount = 20_000, np.array([3, 2]), np.array([0.2, 0.5]), 0.7, 0.4
+    seats = pitman_yor.Restaurants(np.full(n, 2), np.tile([0, 1], n), np.tile(c, n), np.ones(2 * n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), strength, discount)
+    stirling = pitman_yor.log_stirling(discount)
+    for _ in range(6):
+        seats.sweep(p, stirling, rng)
+    t = seats.t.reshape(-1, 2)
+    weight = {(a, b): np.exp(stirling[3, a - 1] + stirling[2, b - 1]) * np.prod([strength + discount * i for i in range(a + b)]) * p[0] ** a * p[1] ** b for a in (1, 2, 3) for b in (1, 2)}
+    for (a, b), w in weight.items():
+        assert ((t[:, 0] == a) & (t[:, 1] == b)).mean() == pytest.approx(w / sum(weight.values()), abs=0.015)
+
+
+def brute_perplexities(texts, strength, discount, sweeps, seed):
+    """The same model with each customer at a table of their own, seated one by one."""
+    rng = random.Random(seed)
+    docs = [t.lower().split() for t in texts]
+    vocabulary = sorted({w for d in docs for w in d})
+    rooms = {}
+
+    def prob(room, w):
+        tables = rooms.get(room, [])
+        parent = 1 / len(vocabulary) if room == "root" else prob("root", w)
+        n = sum(k for _, k in tables)
+        return (sum(k - discount for x, k in tables if x == w) + (strength + discount * len(tables)) * parent) / (strength + n)
+
+    def sit(room, w):
+        tables = rooms.setdefault(room, [])
+        parent = 1 / len(vocabulary) if room == "root" else prob("root", w)
+        own = [t for t in tables if t[0] == w]
+        u = rng.random() * (sum(t[1] - discount for t in own) + (strength + discount * len(tables)) * parent)
+        for t in own:
+            u -= t[1] - discount
+            if u < 0:
+                t[1] += 1
+                return
+        tables.append([w, 1])
+        if room != "root":
+            sit("root", w)
+
+    def leave(room, w):
+        tables = rooms[room]
+        own = [t for t in tables if t[0] == w]
+        t = rng.choices(own, [x[1] for x in own])[0]
+        t[1] -= 1
+        if not t[1]:
+            tables.remove(t)
+            if room != "root":
+                leave("root", w)
+
+    pairs = [list(zip(["<begin>", *d], d)) for d in docs]
+    every = [x for d in pairs for x in d]
+    for v, w in every:
+        sit(v, w)
+    bits = [0.0] * len(docs)
+    sums = [[0.0] * len(d) for d in pairs]
+    for s in range(sweeps):
+        for v, w in every:
+            leave(v, w)
+            sit(v, w)
+        if s >= sweeps // 3:
+            for k, d in enumerate(pairs):
+                for j, (v, w) in enumerate(d):
+                    sums[k][j] += prob(v, w) / (sweeps - sweeps // 3)
+    return [2 ** (-sum(np.log2(x)) / len(x)) for x in sums]
+
+
+def test_perplexities_against_customers_seated_one_by_one(spark):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("the cat dog sat on a mat log ran".split()) for _ in range(rng.randrange(3, 25))) for _ in range(30)]
+    want = brute_perplexities(texts, 1.0, 0.5, 150, 3)
+    found = {r["doc_id"]: r["perplexity"] for r in pitman_yor.perplexities(docs_of(spark, enumerate(texts)), rounds=8, sweeps=6, samples=6, strength=1.0, discount=0.5, root_discount=0.5).collect()}
+    ratio = np.array([found[i] / want[i] for i in range(len(texts))])
+    assert np.abs(ratio - 1).max() < 0.08 and abs(ratio.mean() - 1) < 0.02
+
+
+def test_scores_of_repeated_foreign_and_hot_texts(spark):
+    rng = random.Random(8)
+    prose = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(60)]
+    chinese = ["".join(chr(rng.randrange(0x4E00, 0x5200)) for _ in range(60)) for _ in range(20)]
+    same = ["same line again"] * 300
+    texts = [*prose, prose[0], *chinese, *same]
+    small = {"chunk_bytes": 2000, "hot_sample": 1.0}
+    found = {r["doc_id"]: r for r in pitman_yor.perplexities(docs_of(spark, enumerate(texts)), **small).collect()}
+    score = [found[i]["perplexity"] for i in range(len(texts))]
+    assert score[0] == pytest.approx(score[60], rel=1e-3) and score[0] < 0.7 * min(score[1:60])
+    assert min(score[61:81]) > 50 and found[61]["n_words"] == 60
+    assert max(score[81:]) < 3 and len(found) == len(texts)
+
+
+def test_pieces():
+    data, offsets = common.buffers(pa.array(["ab 中文x é", "", "日", "a-b😀c"]))
+    start, end, of = pitman_yor.pieces(data, offsets)
+    assert [(bytes(data[a:b]).decode(), int(k)) for a, b, k in zip(start, end, of)] == [("ab", 0), ("中", 0), ("文", 0), ("x", 0), ("é", 0), ("日", 2), ("a", 3), ("b", 3), ("😀", 3), ("c", 3)]
 
 
 def test_words_and_hashes():
