@@ -67,6 +67,7 @@ class Index:
     ids: np.ndarray
     questions: list[np.ndarray]
     answers: list[np.ndarray]
+    whole: list[tuple[bool, bool]]
     n: int
 
 
@@ -74,8 +75,13 @@ def _grams(h: np.ndarray, n: int) -> np.ndarray:
     return np.unique(gram_hashes(h, np.zeros(len(h), np.int64), n)[0])
 
 
-def parts_of(rows: list[tuple[int, str]], most_words: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(item, word hashes, those of the question, those of the answer) of runs of at most ``most_words`` words of each item; a run has the share of question and answer that falls in it."""
+def parts_of(rows: list[tuple[int, str]], most_words: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, tuple[bool, bool]]]:
+    """(item, word hashes, those of the question, those of the answer, whether these two are looked for in the whole text) of runs of at most ``most_words`` words of each item.
+
+    An item of one run is looked for in a passage, both question and answer. A run of a longer
+    item has the share of the question, or of the answer, that falls in it, which is looked for
+    in the passage; what it has no share of is the item's own, wherever the text holds it.
+    """
     out = []
     for item, text in rows:
         q, a = question_and_answer(text)
@@ -85,23 +91,23 @@ def parts_of(rows: list[tuple[int, str]], most_words: int) -> list[tuple[int, np
         for at in range(0, len(whole), most_words):
             run = whole[at : at + most_words]
             if single:
-                out.append((item, run, run, run))
+                out.append((item, run, run, run, (False, False)))
             else:
                 cut = min(max(len(question) - at, 0), len(run))
-                out.append((item, run, run[:cut] if cut else run, run[cut:] if cut < len(run) else run))
+                out.append((item, run, run[:cut] if cut else question, run[cut:] if cut < len(run) else answer, (not cut, cut == len(run))))
     return out
 
 
 def frequencies(parts: list[tuple], into: dict[int, int]) -> None:
     """Adds the number of parts that hold each term."""
-    for _, run, _, _ in parts:
-        for t in np.unique(run).tolist():
+    for part in parts:
+        for t in np.unique(part[1]).tolist():
             into[t] = into.get(t, 0) + 1
 
 
 def build_index(parts: list[tuple], df: dict[int, int], n_parts: int, mean_words: float, *, k1: float, b: float, block_items: int, n: int) -> Index:
     term, item, weight = [], [], []
-    for i, (_, run, _, _) in enumerate(parts):
+    for i, (_, run, *_) in enumerate(parts):
         t, tf = np.unique(run, return_counts=True)
         d = np.array([df[x] for x in t.tolist()], np.float64)
         idf = np.log1p((n_parts - d + 0.5) / (d + 0.5))
@@ -123,7 +129,7 @@ def build_index(parts: list[tuple], df: dict[int, int], n_parts: int, mean_words
     return Index(
         terms, seen, np.r_[first, len(term)].astype(np.int64), item, weight, greatest,
         np.searchsorted(of_term[new], np.arange(len(terms) + 1)), block[new], np.maximum.reduceat(weight, new) if len(new) else np.zeros(0),
-        -(-len(parts) // block_items), block_items, np.array([p[0] for p in parts], np.int64), [_grams(p[2], n) for p in parts], [_grams(p[3], n) for p in parts], n,
+        -(-len(parts) // block_items), block_items, np.array([p[0] for p in parts], np.int64), [_grams(p[2], n) for p in parts], [_grams(p[3], n) for p in parts], [p[4] for p in parts], n,
     )
 
 
@@ -203,11 +209,11 @@ def search(index: Index, texts: pa.Array, window: int, threshold: float, overlap
             lo = first[t] + (p - base[t]) * step
             run = h[lo : min(lo + window, first[t + 1])]
             held = (p, run)
-        shares = [_share(grams, held[1], index.n) for grams in (index.questions[part], index.answers[part])]
+        shares = [_share(grams, h[first[t] : first[t + 1]] if whole else held[1], index.n) for grams, whole in zip((index.questions[part], index.answers[part]), index.whole[part])]
         item = int(index.ids[part])
         row = (t, p - int(base[t]), item, round(score, 6), round(shares[0], 6), round(shares[1], 6), min(shares) >= overlap - 1e-9)
         key_ = (t, item)
-        rank = (row[6], min(shares), score, -row[1])
+        rank = (row[6], min(row[4:6]), row[3], -row[1])
         if key_ not in best or rank > best[key_][0]:
             best[key_] = (rank, row)
     return [best[k][1] for k in sorted(best)]
@@ -299,7 +305,9 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
     retrieved. ``contaminated`` if question and answer both have a share of ``overlap`` or more
     of their word ``n``-grams in the passage. For a document and item there is one row, of the
     passage with the greatest overlap (then score, then the earliest). Items longer than
-    ``most_words`` are indexed in runs of so many words, each of which is a leak of its item.
+    ``most_words`` are indexed in runs of so many words. A run's share of question or answer is
+    looked for in the passage; if it has none of one of them, the item's own is looked for in
+    the whole text.
     Item text beyond ``most_index_bytes`` is searched in several indexes, one after another.
 
     Null or wordless texts and items, and items without id, retrieve nothing; documents without

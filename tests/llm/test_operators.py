@@ -1,7 +1,9 @@
 """The corpus operators: parts against brute force, and edge cases of all of them through Spark."""
 
+import collections
 import itertools
 import random
+import re
 import textwrap
 import time
 
@@ -253,6 +255,75 @@ def test_block_max_wand_retrieves_all():
     assert len(want) > 10 and {(a, b): s for a, b, s in zip(p.tolist(), part.tolist(), score.tolist())} == pytest.approx(want)
 
 
+def brute_hits(docs, items, threshold=0.5, overlap=0.5, most_words=128, k1=1.2, b=0.75, n=3):
+    """The query in plain Python: every passage against every run of every item."""
+    runs = []
+    for item, text in items:
+        sentences = [x for x in re.split(r"(?<=[.?!])\s+|\n+", text) if x.strip()]
+        q, a = (plain_words(" ".join(sentences[:-1])), plain_words(sentences[-1])) if len(sentences) > 1 else (plain_words(text),) * 2
+        w = plain_words(text)
+        for at in range(0, len(w), most_words):
+            run = w[at : at + most_words]
+            cut = min(max(len(q) - at, 0), len(run))
+            runs.append((item, run, run if len(sentences) < 2 else run[:cut] or q, run if len(sentences) < 2 else run[cut:] or a, len(sentences) > 1 and not cut, len(sentences) > 1 and cut == len(run)))
+    df = collections.Counter(t for r in runs for t in set(r[1]))
+    mean = sum(len(r[1]) for r in runs) / len(runs)
+    window = 2 * max(32, max(len(r[1]) for r in runs))
+
+    def gram_set(w):
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)}
+
+    def share(part, inside):
+        g = gram_set(part)
+        have = gram_set(inside) | ({tuple(inside[i : i + k]) for k in range(1, n) for i in range(len(inside))} if len(g) == 1 else set())
+        return len(g & have) / len(g)
+
+    out = []
+    for doc, text in docs:
+        w, best = plain_words(text), {}
+        for k in range(max(1, -(-(len(w) - window) // (window // 2)) + 1)):
+            passage = w[k * (window // 2) : k * (window // 2) + window]
+            for item, run, q, a, whole_q, whole_a in runs:
+                weight = {t: np.log1p((len(runs) - df[t] + 0.5) / (df[t] + 0.5)) * run.count(t) * (k1 + 1) / (run.count(t) + k1 * (1 - b + b * len(run) / mean)) for t in set(run)}
+                score = sum(x for t, x in weight.items() if t in passage) / sum(weight.values())
+                if score >= threshold - 1e-9:
+                    shares = share(q, w if whole_q else passage), share(a, w if whole_a else passage)
+                    rank = (min(shares) >= overlap - 1e-9, round(min(shares), 6), round(score, 6), -k)
+                    if item not in best or rank > best[item][0]:
+                        best[item] = rank, (doc, k, item, round(score, 6), round(shares[0], 6), round(shares[1], 6), bool(rank[0]))
+        out += [row for _, row in best.values()]
+    return out
+
+
+def plain_words(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())
+
+
+def test_benchmark_hits_against_brute_force(spark):
+    rng = random.Random(6)
+    words = [f"t{i}" for i in range(400)]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    items = [(i, f"{prose(rng.randrange(3, 30))}? {prose(rng.randrange(1, 12))}.") for i in range(30)] + [(30, prose(9)), (31, f"{prose(300)}. {prose(20)}."), (32, f"{prose(200)}. {prose(200)}.")]
+    docs = []
+    for i, text in items:
+        q, _, a = text.partition(". " if i > 30 else "? ")
+        docs += [prose(rng.randrange(0, 400)) + " " + text + " " + prose(rng.randrange(0, 300)), prose(50) + " " + q + " " + prose(200), prose(300) + " " + a]
+        spoilt = text.split()
+        for _ in range(len(spoilt) // 4):
+            spoilt[rng.randrange(len(spoilt))] = "x"
+        docs.append(prose(80) + " " + " ".join(spoilt))
+    docs = list(enumerate(docs))
+    want = brute_hits(docs, items)
+    found = [tuple(r) for r in decontamination.benchmark_hits(docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()]
+    assert len(want) > 60 and {r[6] for r in want} == {True, False} and {31, 32} <= {r[2] for r in want if r[6]}
+    key = lambda r: (r[0], r[2])
+    assert [r[:3] + r[6:] for r in sorted(found, key=key)] == [r[:3] + r[6:] for r in sorted(want, key=key)]
+    assert np.array([r[3:6] for r in sorted(found, key=key)]) == pytest.approx(np.array([r[3:6] for r in sorted(want, key=key)]), abs=2e-6)
+
+
 def test_leaks_are_found_and_dropped(spark, items):
     rng = random.Random(4)
     filler = [" ".join(rng.choice("alpha beta gamma delta epsilon zeta".split()) for _ in range(200)) for _ in range(4)]
