@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import buffers, slices, text_or_empty
@@ -215,22 +215,29 @@ def classify(net: Network, texts: pa.Array, window: int) -> tuple[np.ndarray, np
 
 
 def training_windows(docs: DataFrame, *, max_train_docs: int, per_doc: int, window: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Windows spread evenly over each sampled document, their languages, and the names."""
-    known = docs.select(docs["doc_id"].cast("long").alias("id"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text")).where("id is not null and lang is not null and text is not null")
-    chosen = known.select("id").orderBy(F.xxhash64("id"), "id").limit(max_train_docs).distinct()
+    """Windows spread evenly over each sampled document, their languages, and the names. Each language has an equal share of the sample, if it has so many documents; a shorter text is repeated to fill a window."""
+    known = docs.select(docs["doc_id"].cast("long").alias("id"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text")).where("id is not null and lang is not null and text <> ''")
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    per = max(1, max_train_docs // max(1, len(counts)))
+    # a share by hash that holds enough documents of a language but for bad luck, so that few are ordered
+    shares = known.sparkSession.createDataFrame([(x, min(1 << 30, -(-(1 << 30) * (3 * per + 100) // n))) for x, n in counts.items()], "lang string, share long")
+    some = known.select("lang", "id").join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("share")).select("lang", "id").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    chosen = some.withColumn("place", place).where(F.col("place") <= per).select("lang", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: tuple[list, list, list] = ([], [], [])
             for i, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 b = text.encode()
-                last = len(b) - window
-                for at in sorted({round(j * last / max(1, per_doc - 1)) for j in range(per_doc)}) if last >= 0 else []:
+                b = b if len(b) >= window else b * (window // len(b) + 1)
+                last = len(b) - window if len(text.encode()) >= window else 0
+                for at in sorted({round(j * last / max(1, per_doc - 1)) for j in range(per_doc)}):
                     for column, v in zip(rows, (i, lang, b[at : at + window])):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.binary())], ["id", "lang", "bytes"])
 
-    table = known.join(F.broadcast(chosen), "id").select("id", "lang", "text").mapInArrow(run, "id long, lang string, bytes binary").toArrow()
+    table = known.join(F.broadcast(chosen), ["lang", "id"]).select("id", "lang", "text").mapInArrow(run, "id long, lang string, bytes binary").toArrow()
     rows = sorted(zip(*(c.to_pylist() for c in table.columns)))
     languages = sorted({r[1] for r in rows})
     number = {x: k for k, x in enumerate(languages)}
@@ -244,8 +251,9 @@ def language_ids(docs: DataFrame, *, window: int = 96, train_window: int = 48, m
     ``lang`` has the greatest mean probability over the bytes, rounded to 4 digits in
     ``probability`` (of ties, the first by name); ``labelled_bytes`` maps each language to the
     number of bytes labelled with it. States begin anew every ``window`` bytes. The network is
-    fitted to windows of ``train_window`` bytes of at most ``max_train_docs`` documents with a
-    language, those with the smallest hash of doc_id.
+    fitted to at most ``per_doc`` windows of ``train_window`` bytes, spread over the text, of
+    each of at most ``max_train_docs`` documents with a language: equally many of each language,
+    where it has so many, those with the smallest hash of doc_id.
 
     Null and empty texts have no language (null, probability 0); when no document has one, no
     row has. Long texts are labelled whole; repeated rows each; a null doc_id stays null; an

@@ -480,6 +480,20 @@ def test_languages_are_told_apart(spark):
     assert np.mean([r["lang"] == r["truth"] for r in found]) > 0.9
 
 
+def test_rare_languages_and_short_texts_are_learned(spark):
+    rng = random.Random(5)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(n))
+
+    rows = [(i, text("abcdefgh", 40), "aa") for i in range(900)] + [(1000 + i, text("стуфхцчш", 3), "ru") for i in range(6)] + [(2000 + i, text("ijklmnop", 40), "ii") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    windows, language, names = language_id.training_windows(docs, max_train_docs=60, per_doc=2, window=48)
+    assert names == ["aa", "ii", "ru"] and windows.shape[0] == 48 and np.bincount(language).tolist() == [40, 40, 6]
+    found = {r["doc_id"]: r["lang"] for r in language_id.language_ids(docs, max_train_docs=60, per_doc=2, steps=150).collect()}
+    assert np.mean([found[i] == lang for i, _, lang in rows if lang != "ru"]) > 0.98 and all(found[1000 + i] == "ru" for i in range(6))
+
+
 def brute_tables(c, others, p, strength, discount, stirling):
     t = np.arange(1, c + 1)
     w = stirling[c, :c] + np.cumsum(np.log(strength + discount * (others + t - 1))) + t * np.log(p)
