@@ -212,15 +212,13 @@ def tfidf_matches(df: DataFrame, pairs: DataFrame, threshold: float = 0.8, *, in
     """Pairs whose weighted sum of word and character TF-IDF cosines of the names (and of the descriptions) reaches the threshold; fitted once to the products that occur in any pair."""
     w = ({"name": 0.7, "char": 0.2, "desc": 0.1} if include_description else {"name": 0.8, "char": 0.2, "desc": 0.0}) | (weights or {})
     keys = pairs.select(F.explode(F.array("left_key", "right_key")).alias("product_key")).distinct()
-    used = df.join(keys, "product_key").select(F.lit(0).alias("fit"), F.explode(F.array(F.lit("l"), F.lit("r"))).alias("side"), F.col("product_key").alias("key"), "product_name_norm", "description_norm")
+    used = df.join(keys, "product_key").select(F.col("product_key").alias("key"), "product_name_norm", "description_norm")
     p = measure_gate(_with_products(pairs, df))
-    asked = p.select(F.lit(0).alias("fit"), "left_key", "right_key")
+    asked = p.select("left_key", "right_key")
 
     def cosine(grams: Column, name: str) -> DataFrame:
         # one fit over the products themselves, so frequencies are counted on one side and used on both
-        one = tfidf.vectors(used.where("side = 'l'"), grams)
-        both = one.unionByName(one.withColumn("side", F.lit("r")))
-        return tfidf.cosines(both, asked).select("left_key", "right_key", F.col("similarity").alias(name))
+        return tfidf.cosines(used, grams, asked).withColumnRenamed("similarity", name)
 
     terms = [("name", tfidf.word_grams("product_name_norm", 3)), ("char", tfidf.char_grams("product_name_norm"))]
     if include_description:

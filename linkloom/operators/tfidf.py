@@ -7,14 +7,20 @@ Pairs below a threshold are never formed: grams are ordered rare first, and a te
 by its prefix, after which the rest of its vector is shorter than the threshold. Two texts
 without a gram in both prefixes can't reach the threshold, since what they share lies in the rest
 of one of them. Cosines of the candidates are exact.
+
+Texts are numbered, grams are 64-bit hashes and a text's vector is one row with arrays, so what
+is shuffled for a gram is three numbers, and a candidate pair is two.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-KEY = ["fit", "side", "key"]
+from linkloom.operators.lineage import cut
 
 
 def char_grams(c: str | Column, low: int = 3, high: int = 5) -> Column:
@@ -33,46 +39,80 @@ def word_grams(c: str | Column, high: int = 2) -> Column:
     """Runs of 1 to ``high`` words of two characters or more."""
     c = F.col(c) if isinstance(c, str) else c
     found = F.filter(F.regexp_extract_all(F.lower(c), F.lit(r"(?U)(\b\w\w+\b)"), F.lit(1)), lambda w: w != "")
-    runs = [F.when(F.size(found) >= n, F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i, n=n: F.array_join(F.slice(found, i, n), " "))).otherwise(F.array().cast("array<string>")) for n in range(1, high + 1)]
-    return F.flatten(F.array(*runs))
-
-
-def vectors(texts: DataFrame, grams: Column) -> DataFrame:
-    """(fit, side, key, gram, w, df) from one row for each (fit, side, key); texts without a gram have no vector."""
-    tf = texts.select(*KEY, F.explode(grams).alias("gram")).groupBy(*KEY, "gram").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("fit", "gram").agg(F.count(F.lit(1)).alias("df"))
-    n = texts.groupBy("fit").agg(F.count(F.lit(1)).alias("n"))
-    raw = tf.join(df, ["fit", "gram"]).join(n, "fit").withColumn("raw", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*KEY)))
-    return raw.select(*KEY, "gram", (F.col("raw") / norm).alias("w"), "df")
-
-
-def cosines(v: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(fit, left_key, right_key, similarity) of given candidates; those without a common gram are left out."""
-    left = v.where("side = 'l'").select("fit", F.col("key").alias("left_key"), "gram", F.col("w").alias("wl"))
-    right = v.where("side = 'r'").select("fit", F.col("key").alias("right_key"), "gram", F.col("w").alias("wr"))
-    met = candidates.join(left, ["fit", "left_key"]).join(right, ["fit", "right_key", "gram"])
-    return met.groupBy("fit", "left_key", "right_key").agg(F.sum(F.col("wl") * F.col("wr")).alias("similarity"))
-
 
-def prefixes(v: DataFrame, threshold: float) -> DataFrame:
-    w = Window.partitionBy(*KEY).orderBy("df", "gram").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return v.withColumn("rest", F.sum(F.col("w") * F.col("w")).over(w)).where(F.col("rest") >= threshold * threshold - 1e-9).select(*KEY, "gram")
+    def runs(n: int) -> Column:
+        # a lambda for transform has one parameter, as a second one would get the element's place
+        return F.when(F.size(found) >= n, F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i: F.array_join(F.slice(found, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.array(*[runs(n) for n in range(1, high + 1)]))
+
+
+def vectors(texts: DataFrame, grams: Column, threshold: float = 0.0) -> DataFrame:
+    """(text, of, fit, side, key, g, w, prefix) from one row for each (fit, side, key), cut to the checkpoint folder.
+
+    ``text`` is a number for each row and ``of`` a hash of its fit; ``g`` and ``w`` have the
+    text's grams, rare first, and their weights; the first ``prefix`` of them are to be joined
+    for ``threshold``. Texts without a gram have no vector.
+    """
+    sizes = texts.groupBy("fit").agg(F.count(F.lit(1)).alias("n"))
+    t = cut(texts.withColumn("grams", F.transform(grams, lambda x: F.xxhash64(x))).join(sizes, "fit").withColumns({"text": F.monotonically_increasing_id(), "of": F.xxhash64("fit")}))
+    tf = t.select("text", "of", F.explode("grams").alias("g")).groupBy("text", "of", "g").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("of", "g").agg(F.count(F.lit(1)).alias("df"))
+    found = tf.join(df, ["of", "g"]).groupBy("text").agg(F.array_sort(F.collect_list(F.struct("df", "g", "tf"))).alias("x")).join(t.drop("grams"), "text")
+    raw = F.transform("x", lambda e: e["tf"] * (F.log((1 + F.col("n")) / (1 + e["df"])) + 1))
+    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, e: a + e * e))
+    v = found.withColumn("raw", raw).withColumn("norm", norm).withColumn("w", F.transform("raw", lambda e: e / F.col("norm")))
+    rest = F.lit(threshold * threshold - 1e-9)
+    if threshold > 0:
+        start = F.struct(F.lit(1.0).alias("rest"), F.lit(0).alias("n"))
+        prefix = F.aggregate("w", start, lambda a, e: F.struct((a["rest"] - e * e).alias("rest"), (a["n"] + F.when(a["rest"] >= rest, 1).otherwise(0)).alias("n")), lambda a: a["n"])
+    else:
+        prefix = F.size("w")
+    return cut(v.select("text", "of", "fit", "side", "key", F.transform("x", lambda e: e["g"]).alias("g"), "w", prefix.alias("prefix")))
+
+
+@F.arrow_udf(DoubleType())
+def _dot(gl: pa.Array, wl: pa.Array, gr: pa.Array, wr: pa.Array) -> pa.Array:
+    """Dot products of sparse vectors, a row each."""
+    n = len(gl)
+    row = np.concatenate([np.repeat(np.arange(n), np.diff(g.offsets.to_numpy())) for g in (gl, gr)])
+    g = np.concatenate([np.asarray(x.flatten()) for x in (gl, gr)])
+    w = np.concatenate([np.asarray(x.flatten()) for x in (wl, wr)])
+    key = (g.view(np.uint64) ^ (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD1342543DE82EF95)
+    order = np.argsort(key)
+    at = np.flatnonzero(key[order[1:]] == key[order[:-1]]) if len(order) else order
+    a, b = order[at], order[at + 1]
+    same = (row[a] == row[b]) & (g[a] == g[b])
+    return pa.array(np.bincount(row[a[same]], w[a[same]] * w[b[same]], n))
+
+
+def _met(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(fit, left_key, right_key, similarity) of pairs (l, r) of texts with a common gram."""
+    l = left.select(F.col("text").alias("l"), "fit", F.col("key").alias("left_key"), F.col("g").alias("gl"), F.col("w").alias("wl"))
+    r = right.select(F.col("text").alias("r"), F.col("key").alias("right_key"), F.col("g").alias("gr"), F.col("w").alias("wr"))
+    return candidates.join(l, "l").join(r, "r").select("fit", "left_key", "right_key", _dot("gl", "wl", "gr", "wr").alias("similarity")).where("similarity > 0")
+
+
+def cosines(texts: DataFrame, grams: Column, asked: DataFrame) -> DataFrame:
+    """(left_key, right_key, similarity) of the pairs asked for, (left_key, right_key), of one fit of ``texts``, whose keys differ; those without a common gram are left out."""
+    v = vectors(texts.withColumns({"fit": F.lit(0), "side": F.lit("l")}), grams)
+    number = v.select("text", "key")
+    pairs = asked.join(number.select(F.col("text").alias("l"), F.col("key").alias("left_key")), "left_key").join(number.select(F.col("text").alias("r"), F.col("key").alias("right_key")), "right_key").select("l", "r")
+    return _met(pairs, v, v).drop("fit")
 
 
 def similar_pairs(texts: DataFrame, grams: Column, threshold: float, *, within: bool = False) -> DataFrame:
     """All pairs of a fit with cosine of at least ``threshold``, rounded to 9 digits: left against right side, or, ``within`` one side, each pair once."""
     if within:
         texts = texts.withColumn("side", F.lit("l"))
-    v = vectors(texts, grams)
-    p = prefixes(v, threshold) if threshold > 0 else v.select(*KEY, "gram")
-    left = p.where("side = 'l'").select("fit", "gram", F.col("key").alias("left_key"))
-    right = (p if within else p.where("side = 'r'")).select("fit", "gram", F.col("key").alias("right_key"))
-    candidates = left.join(right, ["fit", "gram"])
+    v = vectors(texts, grams, threshold)
+    left = v.where("side = 'l'")
+    right = left if within else v.where("side = 'r'")
+    l, r = (x.select("of", F.col("text").alias(side), *([F.col("key").alias(f"key_{side}")] if within else []), F.explode(F.slice("g", F.lit(1), F.col("prefix"))).alias("g")) for x, side in ((left, "l"), (right, "r")))
+    candidates = l.join(r, ["of", "g"])
     if within:
-        candidates = candidates.where("left_key < right_key")
-        v = v.unionByName(v.withColumn("side", F.lit("r")))
-    found = cosines(v, candidates.select("fit", "left_key", "right_key").distinct())
+        candidates = candidates.where("key_l < key_r")
+    found = _met(candidates.select("l", "r").distinct(), left, right)
     return found.withColumn("similarity", F.round("similarity", 9)).where(F.col("similarity") >= F.lit(threshold))
 
 

@@ -10,7 +10,7 @@ from linkloom.functions import products as PF
 from linkloom.functions import text as T
 from linkloom.operators import pairs as G
 from linkloom.operators import products as P
-from linkloom.operators import resolve
+from linkloom.operators import resolve, tfidf
 from linkloom.operators.normalize import category_contract, normalize_categories, with_match_side
 from linkloom.oracle import oracle_sql
 from linkloom.queries import queries
@@ -33,7 +33,7 @@ def rows(df):
     return sorted((tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("name", ["normalize_categories", "exact_cross", "l2_l3", "tfidf_blocked_l1l2", "cross_resolution", "global_id_map", "anchor_chain", "product_normalize", "product_block", "uom_to_mg", "measure_from_name"])
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
     for t in ("part", "customer", "supplier", "orders", "documents"):
@@ -135,6 +135,12 @@ def test_sequence_ratio_and_measures(spark):
     assert one(spark, P.milligram_value("x"), "each") is None
 
 
+def test_grams(spark):
+    assert one(spark, tfidf.word_grams("x", 3), "red anvil a gear") == ["red", "anvil", "gear", "red anvil", "anvil gear", "red anvil gear"]
+    assert one(spark, tfidf.word_grams("x", 3), "one") == ["one"] and one(spark, tfidf.word_grams("x", 3), "") == []
+    assert one(spark, tfidf.char_grams("x"), "ab c") == [" ab", "ab ", " ab ", " c "]
+
+
 def test_product_text(spark):
     assert one(spark, PF.normalize_text("x"), "<b>Café</b> &amp; Co! https://x.y z ß") == "cafe co z"
     assert one(spark, PF.normalize_brand("x"), "Müller & Söhne, LLC") == "muller and sohne"
