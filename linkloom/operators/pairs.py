@@ -236,11 +236,22 @@ def tfidf_cross_with_perm12_and_unordered(df: DataFrame, threshold: float = 0.8)
     return best_of_kinds(both, unordered_exact_fallback(df, both))
 
 
-def sorted_neighbourhood(df: DataFrame, window: int = 5) -> DataFrame:
-    """(source, left_path, right_path): paths of a source less than ``window`` places apart in order."""
-    order = Window.partitionBy("source").orderBy(T.neighbourhood_key("path_norm"), "path_norm")
-    p = paths_of(df)
-    near = p.withColumn("near", F.array(*[F.lead("path_norm", k).over(order) for k in range(1, window)]))
+def sorted_neighbourhood(df: DataFrame, window: int = 5, *, run: int = 10_000) -> DataFrame:
+    """(source, left_path, right_path): paths of a source less than ``window`` places apart in order.
+
+    Paths are sorted by ranges over all tasks and get their places from the sizes of the ranges
+    before. Each task then has ``run`` places of a source, and the first few of the next run.
+    """
+    order = ["source", "key", "path_norm"]
+    sorted_ = cut(paths_of(df).withColumn("key", T.neighbourhood_key("path_norm")).repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sorted_.groupBy("source", "range").agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    place = F.col("start") + F.row_number().over(Window.partitionBy("source", "range").orderBy("key", "path_norm")) - 1
+    own = F.floor(F.col("place") / F.lit(run)).cast("long")
+    placed = sorted_.join(sizes, ["source", "range"]).withColumn("place", place).withColumn("own", own)
+    runs = F.when((F.col("place") % run < window - 1) & (F.col("own") > 0), F.array("own", F.col("own") - 1)).otherwise(F.array("own"))
+    ahead = Window.partitionBy("source", "run").orderBy("place")
+    near = placed.select("source", "path_norm", "place", "own", F.explode(runs).alias("run")).withColumn("near", F.array(*[F.lead("path_norm", k).over(ahead) for k in range(1, window)])).where("own = run")
     return near.select("source", F.col("path_norm").alias("left_path"), F.explode("near").alias("right_path")).where("right_path is not null")
 
 

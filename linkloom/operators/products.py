@@ -95,6 +95,11 @@ def normalize_products(feed: DataFrame | None, listings: DataFrame | None, brand
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
+def kept(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns asked for, in that order; those that aren't there are left out."""
+    return df.select(*[c for c in columns if c in df.columns])
+
+
 def milligram_value(c: str | Column) -> Column:
     """The number in a measure such as "3500-milligrams", "250 mg" or "250"; null for blanks and "each"."""
     s = F.lower(F.trim((F.col(c) if isinstance(c, str) else c).cast("string")))

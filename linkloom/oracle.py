@@ -242,7 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "brand_fill": "SELECT CAST(p_partkey AS VARCHAR) AS product_key, 'b' || substring(p_brand, 7, 4) AS brand_id, p_brand AS brand_name FROM part WHERE p_partkey % 2 = 1",
         "token_frequencies": _with(PRODUCTS) + "SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(string_split(product_name_norm, ' '))) AS token FROM prod) GROUP BY ALL",
         "product_block": _with(CAND) + "SELECT left_key, right_key, brand_name_norm, round(name_jaccard, 6) AS name_jaccard FROM cand",
-        "product_block_multipass": _with(PRODUCTS, TOKENS, _block("one", 0.6, 20), _block("two", 0.35, 20, "r.product_key NOT IN (SELECT right_key FROM one)")) + "SELECT left_key, right_key, brand_name_norm, round(name_jaccard, 6) AS name_jaccard FROM (SELECT * FROM one UNION ALL SELECT * FROM two)",
+        "product_block_multipass": _with(PRODUCTS, TOKENS, _block("one", 0.6, 300), _block("two", 0.35, 300, "r.product_key NOT IN (SELECT right_key FROM one)")) + "SELECT left_key, right_key, brand_name_norm, round(name_jaccard, 6) AS name_jaccard FROM (SELECT * FROM one UNION ALL SELECT * FROM two)",
         "product_exact": _with(MATCHED) + f"SELECT {MATCH}, round(name_jaccard, 6) AS pair_name_score FROM (SELECT *, CAST(1.0 AS DOUBLE) AS similarity, 'exact' AS match_type FROM pm) WHERE left_brand_name = right_brand_name AND left_product_name = right_product_name AND (coalesce(trim(left_uom), '') = '' OR coalesce(trim(right_uom), '') = '' OR left_uom = right_uom AND lm IS NOT DISTINCT FROM rm)",
         "product_tfidf": _with(PRODUCT_TFIDF) + f"SELECT {MATCH} FROM (SELECT pm.*, round(sc, 4) AS similarity, 'tfidf' AS match_type, sc FROM (SELECT pm.*, 0.8 * coalesce(x.s, 0) + 0.2 * coalesce(y.s, 0) AS sc FROM pm LEFT JOIN aas x USING (left_key, right_key) LEFT JOIN bbs y USING (left_key, right_key)) pm WHERE lm IS NULL OR rm IS NULL OR lm = rm) WHERE round(sc, 9) >= 0.6",
     }

@@ -14,14 +14,18 @@ from linkloom.operators.normalize import normalize_categories
 from linkloom.sources import readers, writers
 
 
+INTRA_FILTERS = {"none": lambda pairs, norm: pairs, "parent_child": G.drop_intra_parent_child, "last_child": G.drop_different_last_child}
+
+
 @dataclass
 class CategoryConfig:
-    """``block_by``: none, l1 or l1l2. ``enable_perm12`` adds swapped levels to TF-IDF pairs; ``include_intra`` adds pairs within sources."""
+    """``block_by``: none, l1 or l1l2. ``enable_perm12`` adds swapped levels to TF-IDF pairs; ``include_intra`` adds pairs within sources, of which ``intra_filter`` (none, parent_child or last_child) drops some."""
 
     as_of: str
     threshold: float = 0.78
     block_by: str = "none"
     include_intra: bool = False
+    intra_filter: str = "none"
     include_unordered_exact: bool = True
     enable_perm12: bool = False
     synonyms: dict[str, str] = field(default_factory=dict)
@@ -32,6 +36,8 @@ class CategoryConfig:
     def __post_init__(self) -> None:
         if self.block_by not in ("none", "l1", "l1l2"):
             raise ValueError("block_by is none, l1 or l1l2")
+        if self.intra_filter not in INTRA_FILTERS:
+            raise ValueError(f"intra_filter is one of {', '.join(INTRA_FILTERS)}")
 
 
 def generate_pairs(norm: DataFrame, config: CategoryConfig) -> DataFrame:
@@ -48,7 +54,7 @@ def generate_pairs(norm: DataFrame, config: CategoryConfig) -> DataFrame:
         found.append(G.unordered_exact_fallback(norm, similar))
     found += [G.l3_l3_cross(norm), G.l2_l3_cross(norm)]
     if config.include_intra:
-        found.append(G.drop_intra_parent_child(generate_intra_pairs(norm, config), norm))
+        found.append(INTRA_FILTERS[config.intra_filter](generate_intra_pairs(norm, config), norm))
     return G.combined(*found)
 
 
@@ -95,28 +101,37 @@ def metrics(results: dict[str, DataFrame], config: CategoryConfig) -> dict:
     }
 
 
-def run(spark: SparkSession, raw: DataFrame, config: CategoryConfig, out: str, *, name: str | None = None, stage: str = "dev", resolve_pairs: bool = True, upload_to: str | None = None) -> dict[str, str]:
-    """The whole run, with its results written to a folder of its own under ``out``."""
+def run(spark: SparkSession, raw: DataFrame, config: CategoryConfig, out: str, *, name: str | None = None, stage: str = "dev", resolve_pairs: bool = True, upload_to: str | None = None, mirror_to: str | None = None) -> dict[str, str]:
+    """The whole run, with its results written to a folder of its own under ``out``, which "latest" then points to. ``mirror_to``: a folder that gets a copy under the run's name and one under "latest"."""
     began = time.time()
     results = match(raw, config)
     if resolve_pairs:
         results = resolve_matches(results, config)
     told = metrics(results, config) | {"timing_seconds_total": round(time.time() - began, 3)}
-    folder = f"{out.rstrip('/')}/{name or writers.run_id()}"
-    return writers.publish_categories(spark, folder, results | {"metrics": told}, stage=stage, upload_to=upload_to)
-
-
-def ingest(spark: SparkSession, kind: str, **options) -> DataFrame:
-    """``kind``: dated (folders), csv, query, left_right (queries) or parquet."""
-    if kind == "dated":
-        return readers.dated_categories(spark, **options)
-    if kind == "csv":
-        return readers.csv(spark, **options)
-    if kind == "query":
-        return readers.query(spark, **options)
-    if kind == "left_right":
-        shared = {k: v for k, v in options.items() if k not in ("left", "rights")}
-        return readers.left_right(readers.query(spark, options["left"], **shared), [readers.query(spark, r, **shared) for r in options["rights"]])
-    if kind == "parquet":
-        return readers.parquet(spark, **options)
-    raise ValueError(f"no such source: {kind}")
+    name = name or writers.run_id()
+    folder = writers.run_folder(spark, out, name)
+    paths = writers.publish_categories(spark, folder, results | {"metrics": told}, stage=stage, upload_to=upload_to)
+    writers.point_latest(spark, out, name)
+    if mirror_to:
+        paths["mirror"], paths["mirror_latest"] = writers.mirror(spark, folder, *(f"{mirror_to.rstrip('/')}/{x}" for x in (name, "latest")))
+    return paths
+
+
+def ingest(spark: SparkSession, kind: str, *, snapshot: str | None = None, use_snapshot: bool = True, save_snapshot: bool = True, **options) -> DataFrame:
+    """``kind``: dated (folders), csv, query, left_right (queries) or parquet. ``snapshot``: where the rows are kept after the first time, and read from later."""
+
+    def make() -> DataFrame:
+        if kind == "dated":
+            return readers.dated_categories(spark, **options)
+        if kind == "csv":
+            return readers.csv(spark, **options)
+        if kind == "query":
+            return readers.query(spark, **options)
+        if kind == "left_right":
+            shared = {k: v for k, v in options.items() if k not in ("left", "rights")}
+            return readers.left_right(readers.query(spark, options["left"], **shared), [readers.query(spark, r, **shared) for r in options["rights"]])
+        if kind == "parquet":
+            return readers.parquet(spark, **options)
+        raise ValueError(f"no such source: {kind}")
+
+    return readers.snapshot(spark, snapshot, make, use=use_snapshot, save=save_snapshot)

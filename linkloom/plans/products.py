@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ class ProductConfig:
     parse_units: bool = False
     include_description: bool = False
     scorer: str = "fuzzy"
+    keep_columns: list[str] = field(default_factory=list)
 
 
 def match(feed: DataFrame, listings: DataFrame, brands: DataFrame | None, config: ProductConfig, **normalizing) -> dict[str, DataFrame]:
@@ -41,5 +42,7 @@ def run(spark: SparkSession, feed: DataFrame, listings: DataFrame, brands: DataF
     counts = {r["source"]: r["count"] for r in found["normalized"].groupBy("source").count().collect()}
     kinds = {r["match_type"]: r["count"] for r in matches.groupBy("match_type").count().collect()}
     told = {"inputs": counts, "candidates": found["candidates"].count(), "exact": kinds.get("exact", 0), "fuzzy": kinds.get("fuzzy", 0), "matches_total": matches.agg(F.count(F.lit(1))).first()[0], "threshold": config.threshold, "max_per_left": config.max_per_left, "timing_seconds_total": round(time.time() - began, 3)}
+    if config.keep_columns:
+        writers.write_parquet(P.kept(found["normalized"], config.keep_columns), f"{out}/normalized.parquet")
     writers.write_json(spark, f"{out}/metrics.json", told)
     return told

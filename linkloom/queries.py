@@ -177,7 +177,7 @@ def queries() -> dict[str, Query]:
         "brand_fill": lambda s, d: P.fill_brands(catalog.listings(s, d), catalog.brands(s, d)).select("product_key", "brand_id", "brand_name"),
         "token_frequencies": lambda s, d: P.document_frequencies(products(s, d).select(PF.tokens("product_name_norm").alias("tokens")), "tokens"),
         "product_block": lambda s, d: sim(candidates(s, d), "name_jaccard"),
-        "product_block_multipass": lambda s, d: sim(P.blocking_pairs_multipass(products(s, d), 0.6, 0.35, 20), "name_jaccard"),
+        "product_block_multipass": lambda s, d: sim(P.blocking_pairs_multipass(products(s, d), 0.6, 0.35, 300), "name_jaccard"),
         "product_exact": lambda s, d: sim(P.exact_matches(products(s, d), candidates(s, d)), "pair_name_score"),
         "product_fuzzy": lambda s, d: sim(P.fuzzy_matches(products(s, d), candidates(s, d), 0.75), "pair_name_score"),
         "product_tfidf": lambda s, d: P.tfidf_matches(products(s, d), candidates(s, d), 0.6).drop("pair_name_score"),

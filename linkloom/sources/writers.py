@@ -17,18 +17,26 @@ def run_id(date: str | None = None, tag: str | None = None) -> str:
     return f"{stamp}_{tag}" if tag else stamp
 
 
-def run_folder(root: str, name: str) -> str:
-    """A folder for a run, with a link "latest" beside it. On a local or mounted file system."""
-    path = os.path.join(root, name)
-    os.makedirs(path, exist_ok=True)
-    link = os.path.join(root, "latest")
-    if os.path.islink(link) or not os.path.exists(link):
-        if os.path.islink(link):
-            os.unlink(link)
-        os.symlink(name, link)
+def run_folder(spark: SparkSession, root: str, name: str) -> str:
+    """A folder for a run, on any file system."""
+    path = f"{root.rstrip('/')}/{name}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
     return path
 
 
+def point_latest(spark: SparkSession, root: str, name: str) -> str:
+    """Lets "latest" in the root lead to a run: a link on a local file system, elsewhere a file that holds the run's name."""
+    link = f"{root.rstrip('/')}/latest"
+    if "://" in root:
+        return write_text(spark, link, name)
+    if os.path.islink(link):
+        os.unlink(link)
+    if not os.path.exists(link):
+        os.symlink(name, link)
+    return link
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> str:
     """A small file through Hadoop's file systems, so any URI will do."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,11 +1,13 @@
 """Operators against hand-made cases, and registered queries against their SQL on the smallest tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.__main__ import main
 from linkloom.functions import products as PF
 from linkloom.functions import text as T
 from linkloom.operators import pairs as G
@@ -13,6 +15,7 @@ from linkloom.operators import products as P
 from linkloom.operators import resolve, tfidf
 from linkloom.operators.normalize import category_contract, normalize_categories, with_match_side
 from linkloom.oracle import oracle_sql
+from linkloom.plans import categories as plan
 from linkloom.queries import queries
 from linkloom.sources import readers, writers
 
@@ -166,3 +169,36 @@ def test_publish(spark, tmp_path):
     mapping = spark.createDataFrame([("g", "c", "s", "2025-01-01")], "global_id string, category_id string, source string, updated_at string")
     out = writers.publish_categories(spark, str(tmp_path), {"mapping": mapping}, stage="test", upload_to=str(tmp_path / "up"))
     assert out["mapping"].endswith("test_categories_id_mapping.parquet") and spark.read.parquet(out["mapping_upload"]).count() == 1
+
+
+def test_sorted_neighbourhood_over_several_runs(spark):
+    paths = [(s, f"{a} / {b}") for s in ("left", "right") for a in "abcdefg" for b in ("x", "y", "z z", "zz")]
+    df = spark.createDataFrame(paths, "source string, path_norm string").withColumn("id", F.col("path_norm"))
+    whole = rows(G.sorted_neighbourhood(df, 4))
+    assert rows(G.sorted_neighbourhood(df, 4, run=5)) == whole and len(whole) == 2 * (25 * 3 + 2 + 1)
+
+
+def test_run_from_queries_with_snapshot_latest_and_mirror(spark, tmp_path):
+    cats = [(i, s, "Flower", "Indica", i[1], "2025-01-01") for s in ("left", "right") for i in (f"{s[0].upper()}1", f"{s[0].upper()}2")]
+    spark.createDataFrame(cats, "category_id string, source string, level_one string, level_two string, level_three string, updated_at string").createOrReplaceTempView("cats")
+    args = ["categories", "--kind", "left_right", "--left-sql", "select * from cats where source = 'left'", "--right-sql", "select * from cats where source = 'right'", "--as-of", AS_OF, "--out", str(tmp_path / "runs"), "--snapshot", str(tmp_path / "snap"), "--use-snapshot", "--include-intra", "--intra-filter", "last_child", "--perm12", "--mirror-to", str(tmp_path / "copy")]
+    first = main([*args, "--name", "one"], spark)
+    spark.sql("create or replace temp view cats as select * from values ('x') t(source)")
+    second = main([*args, "--name", "two"], spark)  # from the snapshot, as the view has no such columns now
+    assert spark.read.parquet(first["pairs"]).count() == spark.read.parquet(second["pairs"]).count() >= 2
+    assert os.path.realpath(tmp_path / "runs" / "latest") == str(tmp_path / "runs" / "two")
+    assert {x.name for x in (tmp_path / "copy").iterdir()} == {"one", "two", "latest"} and (tmp_path / "copy" / "latest" / "metrics.json").exists()
+    with pytest.raises(SystemExit):
+        main(["categories", "--kind", "query", "--as-of", AS_OF, "--out", "x"], spark)
+
+
+def test_intra_filters(spark):
+    cats = [(i, i, "s", *x, None) for i, x in (("a", ("Flower", "Indica", "")), ("b", ("Flower", "Indica", "Kush")), ("c", ("Indica", "Flower", "")))]
+    norm = normalize_categories(spark.createDataFrame(cats, CATS), as_of=AS_OF)
+    n = {k: plan.generate_pairs(norm, plan.CategoryConfig(AS_OF, threshold=0.5, include_intra=True, intra_filter=k)).where("match_scope = 'intra'").select("left_id", "right_id").distinct().count() for k in plan.INTRA_FILTERS}
+    assert n["none"] > n["parent_child"] and n["none"] > n["last_child"]
+
+
+def test_kept_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert P.kept(df, ["b", "zz", "a"]).columns == ["b", "a"]
