@@ -31,7 +31,7 @@ FOLDS = 5
 #: Bytes of a word's beginning that count as its stem.
 STEM = 5
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _SYMBOL, _MARK, _BAR, _STOP, _HIGH = range(10)
-_CLASS = np.full(256, _SYMBOL, np.int64)
+_CLASS = np.full(256, _SYMBOL, np.int8)
 _CLASS[97:123] = _LOWER
 _CLASS[65:91] = _UPPER
 _CLASS[48:58] = _DIGIT
@@ -61,8 +61,10 @@ def features(texts: pa.Array) -> np.ndarray:
     # capital letters of two bytes, such as É
     second = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1 if len(data) else np.zeros(0, np.int64)
     kind[second] = _UPPER
-    of = np.repeat(np.arange(n), np.diff(offsets))
-    count = np.bincount(of * 10 + kind, minlength=n * 10).reshape(n, 10).astype(np.float64)
+    cell = np.repeat(np.arange(n, dtype=np.int32) * 10, np.diff(offsets))
+    cell += kind
+    count = np.bincount(cell, minlength=n * 10).reshape(n, 10).astype(np.float64)
+    del cell, kind
     size = np.maximum(np.diff(offsets), 1)
 
     start, end, word_of = words(data, offsets)
@@ -309,6 +311,7 @@ def _feature_rows(lexicons: list[Lexicon]):
                     lexical[at] = lexicons[k].features(texts.take(pa.array(at)))
                 x = np.hstack([features(texts), lexical])
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))], ["y", "x"])
+            release()
 
     return run
 
@@ -328,6 +331,7 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, kind = h[order], kind[order]
             new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (kind[1:] != kind[:-1])]) if len(h) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(kind[new].astype(np.int32)), pa.array(np.diff(np.r_[new, len(h)]))], ["hash", "kind", "n"])
+        release()
 
 
 def _lexicons(rows: DataFrame) -> list[Lexicon]:

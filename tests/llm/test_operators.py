@@ -448,6 +448,57 @@ def test_gam_beats_chance_on_held_out():
     assert quality_gam.fit(x[:0], y[:0]).probability(x[:2]).tolist() == [0.5, 0.5]
 
 
+def brute_features(text):
+    """The features of one text, byte by byte and word by word."""
+    data = text.encode()
+    found = [w.encode() for w in re.findall(r"[0-9a-zA-Z\x80-\U0010ffff]+", text)]
+    grams3 = [tuple(found[i : i + 3]) for i in range(len(found) - 2)] if len(found) >= 3 else [tuple(found)] if found else []
+    lines = [x for x in data.split(b"\n") if x]
+    kinds = collections.Counter()
+    for i, c in enumerate(data):
+        upper = 65 <= c <= 90 or i > 0 and data[i - 1] == 0xC3 and 0x80 <= c <= 0x9E
+        kinds["upper" if upper else "lower" if 97 <= c <= 122 else "digit" if 48 <= c <= 57 else "space" if c in b" \t\r" else "line" if c == 10 else "mark" if c == 33 else "bar" if c == 124 else "stop" if c in b".,;:?'\"()-" else "high" if c >= 128 else "symbol"] += 1
+    n, letters, size = max(1, len(found)), max(1, kinds["upper"] + kinds["lower"] + kinds["high"]), max(1, len(data))
+    repeats = sum(x == y for x, y in zip(found, found[1:]))
+    top = max(collections.Counter(found).values(), default=0)
+    return [np.log1p(len(found)), sum(map(len, found)) / n, kinds["upper"] / letters, kinds["symbol"] / size, kinds["mark"] / n, kinds["bar"] / n, kinds["digit"] / size, len(set(found)) / n, repeats / n, top / n, len(set(grams3)) / max(1, len(grams3)), 1 - len(set(lines)) / max(1, len(lines)), np.log1p(len(found) / max(1, len(lines))), kinds["stop"] / n, kinds["high"] / size]
+
+
+def brute_quality(text, model):
+    """The score of one text, with one look-up after the other."""
+    x = brute_features(text)
+    weight = dict(zip(model.lexicon.hashes.tolist(), model.lexicon.weights.tolist()))
+    small = text.encode().translate(bytes(quality_gam._SMALL))
+    small = b"".join(bytes([c + 32]) if i and small[i - 1] == 0xC3 and 0x80 <= c <= 0x9E else bytes([c]) for i, c in enumerate(small))
+    found = re.findall(rb"[0-9a-zA-Z\x80-\xff]+", small)
+
+    def hash_of(w):
+        return common.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))
+
+    for keys in ([hash_of(w)[0] for w in found], [(hash_of(w[:5]) ^ quality_gam._STEM_SALT)[0] for w in found]):
+        w = [weight.get(int(k), 0.0) for k in keys]
+        x += [sum(w) / max(1, len(w)), max([0.0, *w])]
+    z = model.bias
+    for j, table in enumerate(model.single):
+        z += table[sum(e <= x[j] for e in model.edges[j])]
+    for a, b, table in model.pairs:
+        z += table[sum(e <= x[a] for e in model.coarse[a]), sum(e <= x[b] for e in model.coarse[b])]
+    return 1 / (1 + np.exp(-z))
+
+
+def test_quality_query_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = ["", "É É é!!", "a|b|c", "x\n\nx\ny", "123 $$$", None, "one two", "  "]
+    docs = docs.unionByName(spark.createDataFrame(list(enumerate(odd, 10**6)), "doc_id long, text string"))
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality_gam.train(docs, labels)
+    found = {r["doc_id"]: (r["quality_score"], r["accepted"]) for r in quality_gam.quality_scores(docs, labels).collect()}
+    want = {r["doc_id"]: brute_quality(r["text"] or "", model) for r in docs.collect()}
+    assert {i: p for i, (p, _) in found.items()} == pytest.approx(want, abs=2e-6)
+    assert all(ok == (want[i] >= 0.5) for i, (_, ok) in found.items() if abs(want[i] - 0.5) > 1e-6)
+    assert sorted(r["doc_id"] for r in quality_gam.keep_good(docs, labels).collect()) == sorted(i for i, (_, ok) in found.items() if ok)
+
+
 def test_toxic_documents_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
