@@ -7,13 +7,16 @@ import re
 import textwrap
 import time
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom.llm import common, decontamination, language_id, license_scan, ngram_join, packing, pii, pitman_yor, pivot_index, quality_gam, token_counts
+from linkloom.llm import queries as llm_queries
 
+SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id string, bin_id string, probability double"
 LONG = " ".join(f"word{i % 977} tail" for i in range(40_000))
 
@@ -146,6 +149,16 @@ def test_ngram_join_is_exact(spark):
     assert groups == {k: g for k, (g, _) in brute_classes(want).items()}
 
 
+@pytest.mark.parametrize("name", sorted(llm_queries.oracle_sql()))
+def test_query_agrees_with_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = llm_queries.queries()[name](spark, SF)
+    found = con.sql(llm_queries.oracle_sql()[name])
+    assert df.columns == found.columns and sorted(tuple(r) for r in df.collect()) == sorted(found.fetchall())
+
+
 def test_six_bytes_round_trip():
     a = np.array([0, 1, 2**48 - 1, 12345678901], np.uint64)
     assert (ngram_join._from_six_bytes(ngram_join._six_bytes(a)) == a).all()
@@ -278,14 +291,19 @@ def brute_hits(docs, items, threshold=0.5, overlap=0.5, most_words=128, k1=1.2,
         have = gram_set(inside) | ({tuple(inside[i : i + k]) for k in range(1, n) for i in range(len(inside))} if len(g) == 1 else set())
         return len(g & have) / len(g)
 
+    weights = []
+    for _, run, *_ in runs:
+        weights.append({t: np.log1p((len(runs) - df[t] + 0.5) / (df[t] + 0.5)) * run.count(t) * (k1 + 1) / (run.count(t) + k1 * (1 - b + b * len(run) / mean)) for t in set(run)})
     out = []
     for doc, text in docs:
         w, best = plain_words(text), {}
+        if not w:
+            continue
         for k in range(max(1, -(-(len(w) - window) // (window // 2)) + 1)):
             passage = w[k * (window // 2) : k * (window // 2) + window]
-            for item, run, q, a, whole_q, whole_a in runs:
-                weight = {t: np.log1p((len(runs) - df[t] + 0.5) / (df[t] + 0.5)) * run.count(t) * (k1 + 1) / (run.count(t) + k1 * (1 - b + b * len(run) / mean)) for t in set(run)}
-                score = sum(x for t, x in weight.items() if t in passage) / sum(weight.values())
+            there = set(passage)
+            for (item, run, q, a, whole_q, whole_a), weight in zip(runs, weights):
+                score = sum(x for t, x in weight.items() if t in there) / sum(weight.values())
                 if score >= threshold - 1e-9:
                     shares = share(q, w if whole_q else passage), share(a, w if whole_a else passage)
                     rank = (min(shares) >= overlap - 1e-9, round(min(shares), 6), round(score, 6), -k)
@@ -365,6 +383,109 @@ def test_common_licenses_have_templates(spark):
     assert found == {(i, name, True) for i, name in enumerate(notices)}
 
 
+def brute_window(block, template):
+    """The cheapest run of the block against the template; of ties the latest start, then the earliest end."""
+    best = None
+    for a in range(len(block) + 1):
+        common = [0] * (len(template) + 1)
+        for b in range(a, len(block) + 1):
+            if b > a:
+                before = common[:]
+                for j, w in enumerate(template):
+                    common[j + 1] = before[j] + 1 if w == block[b - 1] else max(before[j + 1], common[j])
+            cost = (b - a) + len(template) - 2 * common[-1]
+            if best is None or (cost, -a, b) < best[0]:
+                best = (cost, -a, b), (a, b)
+    return best[1]
+
+
+def test_license_query_against_brute_force(spark):
+    """Every template against every run of words of every block, no template skipped."""
+    rng = random.Random(10)
+    templates = {"A": ["released under license alpha for all to use", "license alpha"], "B": ["redistribution of beta is permitted with this license notice kept in place"], "C": ["copyright waived all gamma rights are given to the public domain by its author"]}
+    texts = []
+    for _ in range(60):
+        w = [rng.choice("some plain words of no use here".split()) for _ in range(rng.randrange(0, 20))]
+        for t in rng.sample([t for x in templates.values() for t in x], rng.randrange(0, 3)):
+            part = t.split()
+            for _ in range(rng.randrange(0, 4)):
+                part[rng.randrange(len(part))] = rng.choice(["x", "license", "of", "the"])
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = part
+        texts.append(" ".join(w))
+    want = {}
+    for i, text in enumerate(texts):
+        for start, end in license_scan.spans(text, re.compile(license_scan.TRIGGER), 600):
+            block = license_scan.words_of(text[start:end])
+            found = []
+            for name, ts in templates.items():
+                for k, t in enumerate(ts):
+                    t = t.split()
+                    a, b = brute_window(block, t)
+                    inside, wanted = collections.Counter(block[a:b]), collections.Counter(t)
+                    added, dropped = sorted((inside - wanted).elements()), sorted((wanted - inside).elements())
+                    if (len(added) + len(dropped)) / len(t) <= 0.2:
+                        found.append(((inside & wanted).total() - len(added) - len(dropped), a, b, name, k, added, dropped))
+            want[i, start] = found
+    rows = license_scan.license_scan(docs_of(spark, enumerate(texts)), templates=templates).collect()
+    assert {(r["doc_id"], r["block_start"]) for r in rows} == set(want) and len(want) > 25
+    for key, found in want.items():
+        own = [r for r in rows if (r["doc_id"], r["block_start"]) == key]
+        assert [r["confirmed"] for r in own] == [True] * len(own) if found else [r["confirmed"] for r in own] == [False]
+        said = {(r["license"], r["template"], tuple(r["words_added"]), tuple(r["words_dropped"])) for r in own}
+        possible = {(n, k, tuple(x), tuple(y)) for *_, n, k, x, y in found}
+        assert said <= possible or not found
+        # the one that explains most words is always reported
+        assert not found or max(found, key=lambda x: x[0])[0] in {x[0] for x in found if (x[3], x[4], tuple(x[5]), tuple(x[6])) in said}
+
+
+def test_pii_query_against_plain_loops(spark):
+    """Votes counted one by one over all documents, the same two fits, and every span judged."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    counted = collections.Counter((k, pii._code(pii.votes(t, a, b, k)), pii.bits_of(t, a, b)) for t in texts.values() for a, b, k in pii.candidates(t))
+    model = pii.fit([(*k, n) for k, n in counted.items()])
+    want = sorted((i, a, b, k, round(p, 6), p >= 0.5) for i, t in texts.items() for a, b, k, p in pii.find(t, model))
+    assert sorted(tuple(r) for r in pii.pii_spans(docs).collect()) == want and len(want) > 10
+    plain = {}
+    for i, t in texts.items():
+        plain[i] = t
+        for j, a, b, k, _, sure in reversed(want):
+            if i == j and sure:
+                plain[i] = f"{plain[i][:a]}[{k}]{plain[i][b:]}"
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.mask_pii(docs).collect()} == {i: (t, len(t)) for i, t in plain.items()}
+
+
+def test_language_query_against_one_byte_after_the_other(spark):
+    docs = docs_of(spark, [(1, "der die das und"), (2, "é" * 130), (3, ""), (4, None), (5, "x"), (6, "the of and " * 20)])
+    windows, language, names = language_id.training_windows(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), max_train_docs=40, per_doc=2, window=48)
+    train = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang"), "source", "n_chars").withColumn("doc_id", F.col("doc_id") + 10**7))
+    net = language_id.train_network(windows, language, names, steps=3)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def probabilities(chunk):
+        scores = np.tile(net.bias[:, 0], (len(chunk), 1)).astype(float)
+        for d, order in zip(net.directions, (range(len(chunk)), range(len(chunk) - 1, -1, -1))):
+            state = np.zeros(len(d.new))
+            for t in order:
+                x = net.embedding[:, chunk[t]]
+                update, reset = np.split(sigmoid(d.gates @ np.concatenate([x, [1], state])), 2)
+                new = np.tanh(d.new @ np.concatenate([reset * state, x, [1]]))
+                state = update * state + (1 - update) * new
+                scores[t] += d.out @ state
+        e = np.exp(scores - scores.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True)
+
+    found = {r["doc_id"] - 10**7: r for r in language_id.language_ids(train, max_train_docs=40, per_doc=2, steps=3).where("doc_id > 10000000").collect()}
+    for i, text in ((r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()):
+        p = np.concatenate([probabilities(text[at : at + 96]) for at in range(0, len(text), 96)]) if text else np.zeros((0, len(names)))
+        r = found[i]
+        assert r["n_bytes"] == len(text) and (r["lang"] is None) == (not text)
+        if text:
+            assert r["probability"] == pytest.approx(p.mean(0).max(), abs=2e-4)
+            assert r["labelled_bytes"] == dict(zip(names, np.bincount(p.argmax(1), minlength=len(names)).tolist()))
+
+
 def test_pii_is_found_and_masked(spark):
     texts = [(i, f"please write an email to user{i}@mail.example.com or call +1 415-555-{1000 + i}") for i in range(40)] + [(99, "version 1.2.3 section 4 has no such data")]
     d = docs_of(spark, texts)
@@ -669,14 +790,58 @@ def test_words_and_hashes():
     assert h[1] == h[2] and len(set(h.tolist())) == 4
 
 
-def test_pipeline_against_its_parts(spark, tmp_path):
+
+def test_pipeline_against_brute_force(spark):
+    """Each stage done again by the plain version over what its predecessor keeps."""
     import corpus_pipeline
 
-    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    kept = corpus_pipeline.quality(spark, docs, "/root/testdata/sf0.001")
-    single = corpus_pipeline.deduplicate(spark, kept, "/root/testdata/sf0.001")
-    clean = corpus_pipeline.decontaminate(spark, single, "/root/testdata/sf0.001")
-    assert single.columns == docs.columns
-    want = {r["doc_id"] for r in clean.select("doc_id").collect()}
-    assert {r["doc_id"] for r in out.select("doc_id").collect()} == want and 0 < len(want) < docs.count()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality_gam.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = {r["doc_id"]: r.asDict() for r in docs.collect()}
+    kept = {i: r for i, r in rows.items() if brute_quality(r["text"], model) >= 0.5}
+    sets = {i: frozenset(g) for i, r in kept.items() if (g := {tuple(w[k : k + 3]) for w in [plain_words(r["text"])] for k in range(len(w) - 2)} or ({tuple(plain_words(r["text"]))} - {()}))}
+    links = {(i, j) for i, j in itertools.combinations(sorted(sets), 2) if len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j])}
+    kept = {i: r for i, r in kept.items() if brute_classes(links).get(i, (i,))[0] == i}
+    items = sorted({(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()})
+    leaked = {r[0] for r in brute_hits([(i, r["text"]) for i, r in kept.items()], items) if r[6]}
+    kept = {i: r for i, r in kept.items() if i not in leaked}
+    counted = collections.Counter((k, pii._code(pii.votes(t, a, b, k)), pii.bits_of(t, a, b)) for t in (r["text"] for r in kept.values()) for a, b, k in pii.candidates(t))
+    model = pii.fit([(*k, n) for k, n in counted.items()])
+    for r in kept.values():
+        for a, b, k, p in reversed(pii.find(r["text"], model)):
+            if p >= 0.5:
+                r["text"] = f"{r['text'][:a]}[{k}]{r['text'][b:]}"
+        r["n_chars"] = len(r["text"])
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns == [*docs.columns, "pieces"]
+    found = {r["doc_id"]: r.asDict() for r in out.collect()}
+    assert {i: {k: v for k, v in r.items() if k != "pieces"} for i, r in found.items()} == kept and 0 < len(kept) < len(rows) and leaked and links
+    count = brute_counter()
+    shard_of = {r["doc_id"]: (r["shard"], r["tie"]) for r in out.selectExpr("doc_id", "xxhash64(text) as tie", "pmod(xxhash64(doc_id, xxhash64(text)), 128) as shard").collect()}
+    for shard in {x for x, _ in shard_of.values()}:
+        own = sorted((i, count(kept[i]["text"]) + 1) for i, (x, _) in shard_of.items() if x == shard)
+        want = sorted((own[k][0], piece, b + (shard << 32), at, n) for k, piece, b, at, n in brute_pack([n for _, n in own], 8192, 256))
+        assert sorted((i, *p) for i, _ in own for p in found[i]["pieces"]) == want
+
+
+def test_pipeline_stages_on_odd_rows_and_empty_tables(spark):
+    import corpus_pipeline
+
+    text = "the quick brown fox jumps over the lazy dog again and again while others look on"
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    odd = docs_of(spark, [(1, text), (1, text), (2, text), (None, text), (None, None), (3, None), (4, ""), (5, " \n"), (6, f"x {leak} y"), (7, "mail bob@example.com or ann@example.org now"), (8, LONG), (2**62, "other")])
+    base = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in odd.collect())
+    want = {"n-gram Jaccard join": lambda r: r[1] != 2, "benchmark decontamination": lambda r: r[1] != 6, "PII": lambda r: True}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, SF)
+        assert set(odd.columns) <= set(out.columns) and (name == "best-fit packing" or out.columns == odd.columns)
+        found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in out.collect())
+        if name in want and name != "PII":
+            assert found == [r for r in base if want[name](r)], name
+        elif name == "PII":
+            assert [r[:2] for r in found] == [r[:2] for r in base] and not any("@" in r[2] for r in found) and out.where("text is null").count() == 2
+        elif name == "quality classifier":
+            assert set(found) <= set(base) and len({r[2] for r in found}) == len({r[2] for r in base if r[2] in {x[2] for x in found}})
+        else:
+            assert found == base and out.where("size(pieces) = 0").count() == 0
+        assert stage(spark, odd.where("1 = 0"), SF).count() == 0
