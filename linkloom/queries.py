@@ -12,6 +12,7 @@ from linkloom.functions import text as T
 from linkloom.operators import pairs as G
 from linkloom.operators import products as P
 from linkloom.operators import resolve, summarize
+from linkloom.operators.lineage import cut
 from linkloom.operators.normalize import LEVELS, category_contract, normalize_categories
 from linkloom.plans import catalog
 from linkloom.plans.catalog import AS_OF, table
@@ -55,8 +56,10 @@ def products(s: SparkSession, d: str) -> DataFrame:
     return P.normalize_products(catalog.feed(s, d), catalog.listings(s, d), catalog.brands(s, d), ascii_input=True)
 
 
-def candidates(s: SparkSession, d: str) -> DataFrame:
-    return P.blocking_pairs(products(s, d), 0.35, 300)
+def blocked(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Products, normalized once for all that uses them, and their candidate pairs."""
+    p = cut(products(s, d))
+    return p, P.blocking_pairs(p, 0.35, 300)
 
 
 def chain_edges(s: SparkSession, d: str) -> DataFrame:
@@ -176,9 +179,9 @@ def queries() -> dict[str, Query]:
         "strain_states_country": lambda s, d: P.normalize_feed(catalog.feed(s, d), ascii_input=True).select("product_key", "strain_type_norm", "states_norm", "country_norm"),
         "brand_fill": lambda s, d: P.fill_brands(catalog.listings(s, d), catalog.brands(s, d)).select("product_key", "brand_id", "brand_name"),
         "token_frequencies": lambda s, d: P.document_frequencies(products(s, d).select(PF.tokens("product_name_norm").alias("tokens")), "tokens"),
-        "product_block": lambda s, d: sim(candidates(s, d), "name_jaccard"),
-        "product_block_multipass": lambda s, d: sim(P.blocking_pairs_multipass(products(s, d), 0.6, 0.35, 300), "name_jaccard"),
-        "product_exact": lambda s, d: sim(P.exact_matches(products(s, d), candidates(s, d)), "pair_name_score"),
-        "product_fuzzy": lambda s, d: sim(P.fuzzy_matches(products(s, d), candidates(s, d), 0.75), "pair_name_score"),
-        "product_tfidf": lambda s, d: P.tfidf_matches(products(s, d), candidates(s, d), 0.6).drop("pair_name_score"),
+        "product_block": lambda s, d: sim(blocked(s, d)[1], "name_jaccard"),
+        "product_block_multipass": lambda s, d: sim(P.blocking_pairs_multipass(cut(products(s, d)), 0.6, 0.35, 300), "name_jaccard"),
+        "product_exact": lambda s, d: sim(P.exact_matches(*blocked(s, d)), "pair_name_score"),
+        "product_fuzzy": lambda s, d: sim(P.fuzzy_matches(*blocked(s, d), 0.75), "pair_name_score"),
+        "product_tfidf": lambda s, d: P.tfidf_matches(*blocked(s, d), 0.6).drop("pair_name_score"),
     }
