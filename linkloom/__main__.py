@@ -85,5 +85,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> di
     return {"path": writers.write_csv(readers.query(spark, a.sql, url=a.url), readers.category_folder(a.root, a.source, a.date))}
 
 
-if __name__ == "__main__":
+def command() -> None:
     main()
+
+
+if __name__ == "__main__":
+    command()
