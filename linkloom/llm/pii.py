@@ -119,8 +119,8 @@ def votes(text: str, start: int, end: int, kind: str) -> list[int]:
     elif kind == "IP":
         parts = [int(p) for p in s.split(".")]
         pattern = 1 if all(p < 256 for p in parts) else -1
-        # addresses that are no one's: of the machine itself, of private networks, of none
-        gazetteer = counter = -1 if parts[0] in (0, 10, 127) or parts[:2] in ([192, 168], [169, 254]) or parts[0] == 172 and 16 <= parts[1] < 32 or parts[0] >= 224 else 0
+        # blocks that name no one: of the machine itself, of usual private networks, of none
+        gazetteer = counter = -1 if parts[:2] in ([127, 0], [10, 0], [192, 168], [169, 254], [0, 0]) or parts == [255] * 4 else 0
         shape = -1 if any(len(p) > 1 and p[0] == "0" for p in s.split(".")) else 1
     elif kind == "PHONE":
         pattern = 1 if re.fullmatch(r"\+?\d{0,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]\d{4}|\+\d[\d ().\-]+", s) else 0
@@ -130,6 +130,7 @@ def votes(text: str, start: int, end: int, kind: str) -> list[int]:
     elif kind == "CARD":
         pattern = 1 if 13 <= len(digits) <= 19 else -1
         checksum = 1 if _luhn(digits) else -1
+        counter = min(checksum, 0)  # every card has a right check digit
         gazetteer = 1 if digits[0] in "3456" or digits[:2] in ("22", "23", "24", "25", "26", "27") else -1
         shape = 1 if len(digits) in (15, 16) and len(set(digits)) > 3 else -1
     elif kind == "SECRET":
