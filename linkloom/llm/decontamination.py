@@ -31,6 +31,8 @@ SCHEMA = "doc_id long, passage long, item_id long, bm25 double, question_overlap
 _FIELDS = pa.schema([("doc_id", pa.int64()), ("passage", pa.int64()), ("item_id", pa.int64()), ("bm25", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("contaminated", pa.bool_())])
 #: Postings that are scored at once, so that memory follows neither the slice nor the number of items.
 _POSTINGS_AT_ONCE = 1 << 20
+#: Bytes of text that are searched at once.
+_SLICE = 2 << 20
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 
@@ -244,7 +246,7 @@ class Searcher:
 
     def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "text", _SLICE):
                 found = search(self.index, part.column("text"), self.window, self.threshold, self.overlap)
                 release()
                 if found:
@@ -254,7 +256,7 @@ class Searcher:
 
     def dirty(self, texts: pa.Array) -> np.ndarray:
         out = []
-        for part in slices(pa.RecordBatch.from_arrays([pc.fill_null(texts, "")], ["text"])):
+        for part in slices(pa.RecordBatch.from_arrays([pc.fill_null(texts, "")], ["text"]), "text", _SLICE):
             flag = np.zeros(part.num_rows, bool)
             for row in search(self.index, part.column("text"), self.window, self.threshold, self.overlap):
                 flag[row[0]] |= row[6]

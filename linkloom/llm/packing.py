@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,12 +83,13 @@ def _placed(docs: DataFrame, kept: list[str], capacity: int, separator: int, ope
     count = token_counter(ranks_path)
     text = text_or_empty(docs["text"])
     row = F.struct(*[docs[c].alias(f"c{k}") for k, c in enumerate(kept)]).alias("row")
-    rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("tie"), row, text.alias("text"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("tie"), row, *([] if "text" in kept else [text.alias("text")]))
     shape = rows.select("id", "tie", "row", F.lit(0).cast("long").alias("size")).schema
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            inside = pc.fill_null(pc.struct_field(batch.column("row"), kept.index("text")).cast(pa.string()), "") if "text" in kept else batch.column("text")
+            for part in slices(pa.RecordBatch.from_arrays([*batch.columns[:3], inside], ["id", "tie", "row", "text"])):
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(count(part.column("text")) + separator)], ["id", "tie", "row", "size"])
             release()
 

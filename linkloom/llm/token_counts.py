@@ -74,7 +74,7 @@ def tokens_in_piece(piece: bytes, ranks: dict[bytes, int]) -> int:
     return n - merges
 
 
-def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 1_200_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
+def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 500_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
     """Counts the tokens of each of an array of texts. Counts of pieces are remembered, up to so many at a time.
 
     ``cut_at_spaces``: cuts texts at each single space before the pattern is applied, so that
@@ -97,7 +97,8 @@ def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 1
                 self.clear()
             # not a number where white space would meet the space that was cut out
             apart = word and not word[0].isspace() and not word[-1].isspace()
-            self[word] = n = sum(map(of_piece, find(" " + word))) if apart else nan
+            # its pieces aren't remembered beside it
+            self[word] = n = sum(tokens_in_piece(p.encode(), ranks) for p in find(" " + word)) if apart else nan
             return n
 
     of_piece = Pieces().__getitem__
@@ -142,7 +143,7 @@ def _counter(path: str, *options: str | int | bool) -> Callable[[pa.Array], np.n
     return _counters[key]
 
 
-def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remembered: int = 1_200_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
+def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remembered: int = 500_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
     """The counter for a vocabulary file, made where the work is done and kept by the worker."""
 
     def count(texts: pa.Array) -> np.ndarray:
@@ -151,7 +152,7 @@ def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remem
     return count
 
 
-def token_counts(docs: DataFrame, *, ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, cut_at_spaces: bool = True, remembered: int = 1_200_000) -> DataFrame:
+def token_counts(docs: DataFrame, *, ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, cut_at_spaces: bool = True, remembered: int = 500_000) -> DataFrame:
     """(doc_id, n_tokens) for each row of ``docs``, over its whole text.
 
     ``ranks_path`` is read where the work is done, so every executor must see it;
