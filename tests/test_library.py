@@ -1,7 +1,9 @@
 """Operators against hand-made cases, and registered queries against their SQL on the smallest tables."""
 
+import difflib
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -202,3 +204,53 @@ def test_intra_filters(spark):
 def test_kept_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert P.kept(df, ["b", "zz", "a"]).columns == ["b", "a"]
+
+
+def test_product_fuzzy_query_against_plain_scores(spark):
+    from linkloom import queries as Q
+
+    larger = "/root/testdata/sf0.01"  # no pair reaches the threshold in the smallest tables
+    norm, pairs = Q.blocked(spark, larger)
+    known = {r["product_key"]: r for r in norm.collect()}
+
+    def mg(x):
+        x = (x or "").strip().lower()
+        m = re.fullmatch(r"(\d+)\s*-\s*milligrams|(\d+)\s*mg", x)
+        if x in ("", "each", "nan") or m:
+            return int(m[1] or m[2]) if m else None
+        try:
+            return round(float(x))
+        except ValueError:
+            return None
+
+    want = []
+    for r in pairs.collect():
+        a, b = known[r["left_key"]], known[r["right_key"]]
+        l, m = mg(a["measure_mg"]), mg(b["measure_mg"])
+        if l is not None and m is not None and l != m:
+            continue
+        unit = (a["uom_norm"] or "").strip()
+        names = a["product_name_norm"] or "", b["product_name_norm"] or ""
+        score = 0.8 * difflib.SequenceMatcher(None, *names).ratio() + 0.05 * (unit != "" and unit == (b["uom_norm"] or "").strip()) + 0.1 * (0.5 if l is None or m is None else 1)
+        if score >= 0.75:
+            want.append((r["left_key"], r["right_key"], round(score, 4)))
+    found = [(r["left_key"], r["right_key"], r["similarity"]) for r in queries()["product_fuzzy"](spark, larger).collect()]
+    assert sorted(found) == sorted(want) and want
+
+
+def test_sources_read_back_what_was_written(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a", "left", "2025-01-01"), ("2", 'say "b", c', "right", "2025-01-02")], "category_id string, level_one string, source string, updated_at string")
+    for s in ("left", "right"):
+        writers.write_csv(df.where(F.col("source") == s).drop("source"), readers.category_folder(str(tmp_path), s, "2025-01-31"))
+    back = readers.dated_categories(spark, str(tmp_path), ["left", "right"], "2025/01/31", renamed={"right": {"level_one": "level_two"}})
+    assert rows(back.select("category_id", "source")) == [("1", "left"), ("2", "right")] and back.where("level_two = 'say \"b\", c'").count() == 1
+    df.createOrReplaceTempView("written")
+    assert rows(readers.table(spark, "written", ["category_id"], "source = 'left'")) == rows(readers.query(spark, "select category_id from written where source = 'left'")) == [("1",)]
+    with pytest.raises(ValueError):
+        readers.query(spark, "  ")
+    calls = []
+    for _ in range(2):
+        found = readers.snapshot(spark, str(tmp_path / "snap"), lambda: calls.append(1) or df)
+    assert len(calls) == 1 and rows(found) == rows(df)
+    out = main(["extract", "--sql", "select * from written", "--root", str(tmp_path / "x"), "--source", "s", "--date", "2025-01-31"], spark)
+    assert readers.csv_strings(spark, out["path"]).count() == 2
