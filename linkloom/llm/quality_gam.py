@@ -28,6 +28,8 @@ from linkloom.llm.common import buffers, cut, drop_cut, gram_hashes, release, sl
 FEATURES = ["words", "word_bytes", "upper", "symbols", "marks", "bars", "digits", "distinct_words", "repeats_next", "top_word", "distinct_trigrams", "repeated_lines", "line_words", "stops", "non_ascii"]
 LEXICAL = ["mean_of_words", "most_of_words", "mean_of_stems", "most_of_stems"]
 FOLDS = 5
+#: Bytes of text that are looked at at once.
+_SLICE = 2 << 20
 #: Bytes of a word's beginning that count as its stem.
 STEM = 5
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _SYMBOL, _MARK, _BAR, _STOP, _HIGH = range(10)
@@ -303,7 +305,7 @@ def _feature_rows(lexicons: list[Lexicon]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "text", _SLICE):
                 texts, fold = part.column("text"), part.column("fold").to_numpy()
                 lexical = np.zeros((len(texts), len(LEXICAL)))
                 for k in np.unique(fold):
@@ -319,7 +321,7 @@ def _feature_rows(lexicons: list[Lexicon]):
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of a slice have each hash, by fold and toxicity."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, "text", _SLICE):
             h_words, h_stems, of = tokens(part.column("text"))
             h, of = np.r_[h_words, h_stems], np.r_[of, of]
             order = np.lexsort((of, h))
@@ -384,7 +386,7 @@ def score(text: Column, model: Model) -> Column:
     @F.arrow_udf(DoubleType())
     def run(t: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([pc.fill_null(t, "")], ["text"])
-        parts = [model.judge(p.column("text")) for p in slices(batch)]
+        parts = [model.judge(p.column("text")) for p in slices(batch, "text", _SLICE)]
         release()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
