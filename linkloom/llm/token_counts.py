@@ -5,7 +5,7 @@ lowest rank is popped from a heap and merged in a linked list, again and again;
 many tokens as bytes minus merges. No identifiers are made.
 
 Texts are cut at single spaces in Arrow, and each different word of a slice of texts is counted
-once. Counts of words and pieces are remembered by a worker.
+once. Counts of pieces are remembered by a worker.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ from linkloom.llm.common import release, slices, text_or_empty
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
+#: Single bytes that are a piece by themselves after a word, with the default pattern.
+_STOPS = frozenset(".,;:?!")
+
 _counters: dict[tuple, Callable[[pa.Array], np.ndarray]] = {}
 
 
@@ -74,7 +77,7 @@ def tokens_in_piece(piece: bytes, ranks: dict[bytes, int]) -> int:
     return n - merges
 
 
-def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 500_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
+def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 700_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
     """Counts the tokens of each of an array of texts. Counts of pieces are remembered, up to so many at a time.
 
     ``cut_at_spaces``: cuts texts at each single space before the pattern is applied, so that
@@ -85,24 +88,31 @@ def counter(ranks: dict[bytes, int], pattern: str = PATTERN, remembered: int = 5
     find = regex.compile(pattern).findall
 
     class Pieces(dict):
-        def __missing__(self, piece: str) -> int:
-            if len(self) >= remembered:
-                self.clear()
-            self[piece] = n = tokens_in_piece(piece.encode(), ranks)
-            return n
+        """Counts of the pieces seen of late; those before them are kept until as many new ones have come."""
 
-    class Words(dict):
-        def __missing__(self, word: str) -> float:
-            if len(self) >= remembered:
+        before: dict[str, int] = {}
+
+        def __missing__(self, piece: str) -> int:
+            n = self.before.get(piece)
+            if n is None:
+                n = tokens_in_piece(piece.encode(), ranks)
+            if len(self) >= max(1, remembered // 2):
+                self.before = dict(self)
                 self.clear()
-            # not a number where white space would meet the space that was cut out
-            apart = word and not word[0].isspace() and not word[-1].isspace()
-            # its pieces aren't remembered beside it
-            self[word] = n = sum(tokens_in_piece(p.encode(), ranks) for p in find(" " + word)) if apart else nan
+            self[piece] = n
             return n
 
     of_piece = Pieces().__getitem__
-    of_word = Words().__getitem__
+    plain = pattern == PATTERN
+
+    def of_word(word: str) -> float:
+        if plain and word.isalpha():
+            return of_piece(" " + word)
+        if plain and word[-1:] in _STOPS and word[:-1].isalpha():
+            return of_piece(" " + word[:-1]) + 1
+        # not a number where white space would meet the space that was cut out
+        apart = word and not word[0].isspace() and not word[-1].isspace()
+        return sum(map(of_piece, find(" " + word))) if apart else nan
 
     def whole(text: str) -> int:
         return sum(map(of_piece, find(text)))
@@ -143,7 +153,7 @@ def _counter(path: str, *options: str | int | bool) -> Callable[[pa.Array], np.n
     return _counters[key]
 
 
-def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remembered: int = 500_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
+def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remembered: int = 700_000, cut_at_spaces: bool = True) -> Callable[[pa.Array], np.ndarray]:
     """The counter for a vocabulary file, made where the work is done and kept by the worker."""
 
     def count(texts: pa.Array) -> np.ndarray:
@@ -152,7 +162,7 @@ def token_counter(ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, remem
     return count
 
 
-def token_counts(docs: DataFrame, *, ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, cut_at_spaces: bool = True, remembered: int = 500_000) -> DataFrame:
+def token_counts(docs: DataFrame, *, ranks_path: str = DEFAULT_RANKS, pattern: str = PATTERN, cut_at_spaces: bool = True, remembered: int = 700_000) -> DataFrame:
     """(doc_id, n_tokens) for each row of ``docs``, over its whole text.
 
     ``ranks_path`` is read where the work is done, so every executor must see it;
