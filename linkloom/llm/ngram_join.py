@@ -14,6 +14,11 @@ they are counted but not carried further; most documents end there.
 Documents with equal sets are one record with their number, and the result has a row for each
 document, with its class and its number of links, so that large groups of copies cost no more
 than their members.
+
+Near copies of one text would meet in the list of nearly every gram of it, all pairs each time.
+Documents that share much of their prefixes with the same hub have a home together: they are
+compared with each other by products of matrices, and lists only bring pairs of different homes.
+Homes are a matter of cost; any would give the same result.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import SLICE_BYTES, buffers, cut, drop_cut, gram_hashes, mix, partitions, release, slices, word_hashes, words
-from linkloom.llm.links import classes, in_blocks, linked, pairs_of_lists
+from linkloom.llm.links import classes, in_blocks, linked, linked_at_home, pairs_of_lists
 
 _LOCAL = np.uint64(16)
 _MASK = np.uint64(0xFFFF)
@@ -249,10 +254,10 @@ def _met(threshold: float, at_once: int = 250_000):
             offsets = lists.offsets.to_numpy().astype(np.int64)
             offsets -= offsets[0]
             entries = lists.flatten()
-            ids, code, block = (np.asarray(entries.field(k)) for k in range(3))
+            home, ids, code, block = (np.asarray(entries.field(k)) for k in range(4))
             size, level, since = code >> 16, (code >> 8) & 255, code & 255
             apart, n = np.asarray(batch.column("apart").cast(pa.int8())).astype(bool), batch.column("n").to_numpy()
-            for of, i, j in pairs_of_lists(offsets, at_once):
+            for of, i, j in pairs_of_lists(offsets, at_once, home):
                 lower = np.minimum(level[i], level[j])
                 keep = (np.minimum(size[i], size[j]) >= np.maximum(size[i], size[j]) * threshold - 1e-9) & (np.maximum(since[i], since[j]) <= lower)
                 keep &= ~apart[of] | (block[i] != block[j])
@@ -268,19 +273,87 @@ def _met(threshold: float, at_once: int = 250_000):
     return run
 
 
-def _candidates(whole: DataFrame, threshold: float, list_at_once: int) -> DataFrame:
-    """(a, b) of sets that share enough grams of their prefixes, a < b.
+def _homes(whole: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(id, home) of sets that share a quarter of their prefix or more with a hub.
+
+    The hub of a gram in ``lengths`` is that of its sets with the smallest share of grams that
+    no other document has, for near copies the text that they come from.
+    """
+    alone = F.col("size") - F.col("n_shared")
+    rank = F.struct(F.floor(100 * alone / F.col("size")).alias("rank"), (-F.col("size")).alias("less"), "id").alias("hub")
+    postings = whole.select("id", (alone + F.size("prefix")).alias("places"), rank, F.explode("prefix").alias("gram")).join(lengths.select("gram"), "gram")
+    hubs = postings.groupBy("gram").agg(F.min("hub").alias("hub")).select("gram", F.col("hub.id").alias("home"))
+    votes = postings.select("id", "places", "gram").join(hubs, "gram").groupBy("id", "home").agg(F.count(F.lit(1)).alias("votes"), F.first("places").alias("places"))
+    return votes.where("4 * votes >= places").groupBy("id").agg(F.max(F.struct("votes", "home")).alias("most")).select("id", F.col("most.home").alias("home"))
+
+
+def _candidates(whole: DataFrame, lengths: DataFrame, threshold: float, list_at_once: int) -> DataFrame:
+    """(a, b) of sets of different homes that share enough grams of their prefixes, a < b.
 
     Near duplicates share many grams, and these have the same lists of documents. Lists that
     are equal are one list with a count before any pair is made of them.
     """
-    postings = whole.select("id", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram"))
+    postings = whole.select("id", "home", "size", "level", "n_shared", F.posexplode("prefix").alias("pos", "gram"))
     code = F.shiftleft("size", 16) + F.shiftleft("level", 8) + _since(threshold)
-    lists = in_blocks(postings, "gram", code, list_at_once).groupBy("apart", "entries").agg(F.count(F.lit(1)).alias("n"))
+    lists = in_blocks(postings, "gram", code, list_at_once, lengths).groupBy("apart", "entries").agg(F.count(F.lit(1)).alias("n"))
     met = lists.mapInArrow(_met(threshold), "a long, b long, met long, needed long").groupBy("a", "b").agg(F.sum("met").alias("met"), F.first("needed").alias("needed"))
     return met.where("met >= needed").select("a", "b")
 
 
+def _both(one: list[np.ndarray], other: list[np.ndarray] | None, at_once: int = 4 << 20) -> np.ndarray:
+    """How many grams each of ``one`` shares with each of ``other``, or of ``one``: products for grams of many sets, sums for the others. Grams of one set alone aren't counted."""
+    sides = [one] if other is None else [one, other]
+    code = np.unique(np.concatenate([g for side in sides for g in side]), return_inverse=True)[1]
+    n, m = len(one), len(sides[-1])
+    row = [np.repeat(np.arange(len(side)), [len(g) for g in side]) for side in sides]
+    code = np.split(code, [len(row[0])])[: len(sides)]
+    kinds = max((int(c.max()) + 1 for c in code if len(c)), default=0)
+    held = [np.bincount(c, minlength=kinds) for c in code]
+    many = held[0] * held[-1] * 200 >= n * m
+    if other is None:
+        many &= held[0] > 1
+    both = np.zeros((n, m), np.float32)
+    at = np.cumsum(many) - 1
+    dense = [(r[many[c]], at[c[many[c]]]) for r, c in zip(row, code)]
+    width = max(1, at_once // max(n, m))
+    for lo in range(0, int(many.sum()), width):
+        parts = []
+        for (r, c), rows in zip(dense, (n, m)):
+            x = np.zeros((rows, width), np.float32)
+            here = (c >= lo) & (c < lo + width)
+            x[r[here], c[here] - lo] = 1
+            parts.append(x)
+        both += parts[0] @ parts[-1].T
+    left, right = ((r[~many[c]], c[~many[c]]) for r, c in ((row[0], code[0]), (row[-1], code[-1])))
+    order = np.argsort(right[1], kind="stable")
+    partner, of = right[0][order], right[1][order]
+    start = np.searchsorted(of, left[1])
+    times = np.searchsorted(of, left[1], "right") - start
+    if other is None:
+        times[times == 1] = 0
+    ends = np.cumsum(times)
+    lo = 0
+    while lo < len(times):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + at_once, "right")))
+        t = times[lo:hi]
+        place = np.repeat(start[lo:hi] - (np.cumsum(t) - t), t) + np.arange(int(t.sum()))
+        np.add.at(both.reshape(-1), np.repeat(left[0][lo:hi], t) * m + partner[place], np.float32(1))
+        lo = hi
+    return both
+
+
+def _similar_blocks(threshold: float):
+    """As ``_similar``, all pairs of two blocks, or of one, as a matrix."""
+
+    def judge(one: list[bytes], other: list[bytes] | None) -> np.ndarray:
+        sides = [one] if other is None else [one, other]
+        size = [np.array([int.from_bytes(p[:8], "big") for p in side], np.float64) for side in sides]
+        both = _both(*([_from_six_bytes(p[8:]) for p in side] for side in sides), *([None] * (2 - len(sides)))).astype(np.float64)
+        return both >= threshold * (size[0][:, None] + size[-1] - both) - 1e-9
+
+    return judge
+
+
 def _similar(threshold: float):
     """Which pairs of sets reach the threshold. A payload is the size of the set and its shared grams."""
 
@@ -313,7 +386,7 @@ def _similar(threshold: float):
     return judge
 
 
-def ngram_jaccard_classes(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20, list_at_once: int = 2048, pairs_at_once: int = 250_000) -> DataFrame:
+def ngram_jaccard_classes(docs: DataFrame, *, n: int = 3, threshold: float = 0.6, most_shared: int = 12, verify_cost: float = 8.0, chunk_bytes: int = 12 << 20, list_at_once: int = 2048, pairs_at_once: int = 250_000, crowd: int = 64) -> DataFrame:
     """(doc_id, class_id, n_links): a row for each document with a link to another one.
 
     Two documents are linked if the Jaccard similarity of their gram sets is ``threshold`` at
@@ -325,7 +398,7 @@ def ngram_jaccard_classes(docs: DataFrame, *, n: int = 3, threshold: float = 0.6
     of them all; repeated grams count once. ``most_shared`` bounds the levels that a document
     chooses from, ``verify_cost`` weighs a verification against a posting; neither changes the
     result, nor do ``chunk_bytes``, ``list_at_once`` and ``pairs_at_once``, which bound the
-    memory of a task. Grams are compared by 48 bits of a hash: two texts of a thousand grams
+    memory of a task, nor ``crowd``, the number of sets from which a gram has a hub. Grams are compared by 48 bits of a hash: two texts of a thousand grams
     each have a chance of 4e-9 that grams which differ count as shared, at any size of the corpus.
 
     Texts without a word, null texts and null doc_ids match nothing. Repeated rows count once;
@@ -341,16 +414,23 @@ def ngram_jaccard_classes(docs: DataFrame, *, n: int = 3, threshold: float = 0.6
     firsts = equal.select(F.col("first").alias("id"), "key1", "key2", "copies")
     # the sets themselves travel once, when pairs are verified; until then there are only their prefixes
     whole = sets.drop("shared").join(firsts, ["id", "key1", "key2"], "left_semi").dropDuplicates(["id"])
-    found = cut(_candidates(whole, threshold, list_at_once))
+    lengths = cut(whole.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min(crowd, list_at_once)))
+    homes = cut(_homes(whole, lengths))
+    # a set without a home has its own, where its hub's others may be too
+    whole = whole.join(homes, "id", "left").withColumn("home", F.coalesce("home", "id"))
+    found = cut(_candidates(whole, lengths, threshold, list_at_once))
     payload = F.concat(F.to_binary(F.lpad(F.hex("size"), 16, "0"), F.lit("hex")), F.col("shared"))
 
     def with_payload(needed: DataFrame) -> DataFrame:
         return needed.join(firsts, "id").join(sets.select("id", "key1", "key2", "size", "shared"), ["id", "key1", "key2"]).select("of", "id", F.col("copies").alias("weight"), payload.alias("payload"))
 
-    near = classes(linked(found, with_payload, _similar(threshold), pairs_at_once)).withColumnRenamed("id", "first")
+    hubs = homes.select(F.col("home").alias("hub")).distinct().join(homes.select("id"), F.col("hub") == F.col("id"), "left_anti")
+    housed = homes.unionByName(hubs.select(F.col("hub").alias("id"), F.col("hub").alias("home")))
+    at_home = linked_at_home(with_payload(housed.withColumnRenamed("home", "of")).withColumnRenamed("of", "home"), _similar_blocks(threshold), list_at_once, 8 << 20)
+    near = classes(linked(found, with_payload, _similar(threshold), pairs_at_once).unionByName(at_home)).withColumnRenamed("id", "first")
     rows = own.join(equal, ["key1", "key2"]).join(near, "first", "left")
     out = cut(rows.select(F.col("id").alias("doc_id"), F.coalesce("class_id", "first").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")).where("n_links > 0"))
-    for done in (sets, equal, found):
+    for done in (sets, equal, lengths, homes, found):
         drop_cut(done)
     return out
 

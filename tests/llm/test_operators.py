@@ -149,6 +149,30 @@ def test_ngram_join_is_exact(spark):
     assert groups == {k: g for k, (g, _) in brute_classes(want).items()}
 
 
+def test_near_copies_of_a_text_are_not_paired_in_lists(spark, monkeypatch):
+    rng = random.Random(11)
+
+    def edited(t, most):
+        w = t.split()
+        for _ in range(rng.randrange(most)):
+            w[rng.randrange(len(w))] = f"y{rng.randrange(300)}"
+        return " ".join(w)
+
+    first, second = (" ".join(f"{x}{rng.randrange(500)}" for _ in range(120)) for x in "ab")
+    between = " ".join(first.split()[:85] + second.split()[:35])
+    texts = [t for base, n in ((first, 90), (second, 40), (between, 40)) for t in [base] * 3 + [edited(base, 9) for _ in range(n)]]
+    texts += [" ".join(f"c{rng.randrange(60)}" for _ in range(rng.randrange(3, 40))) for _ in range(40)]
+    rng.shuffle(texts)
+    sets = [grams(t) for t in texts]
+    want = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j])}
+    candidates, linked = [], ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", lambda found, *rest: candidates.append(found.count()) or linked(found, *rest))
+    for sizes in ({}, {"crowd": 8, "list_at_once": 16}):
+        found = ngram_join.ngram_jaccard_classes(docs_of(spark, list(enumerate(texts))), **sizes).collect()
+        assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == brute_classes(want)
+    assert len(want) > 3000 and candidates[1] < len(want) / 3, (len(want), candidates)
+
+
 @pytest.mark.parametrize("name", sorted(llm_queries.oracle_sql()))
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
