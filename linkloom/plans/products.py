@@ -29,9 +29,11 @@ class ProductConfig:
 def match(feed: DataFrame, listings: DataFrame, brands: DataFrame | None, config: ProductConfig, **normalizing) -> dict[str, DataFrame]:
     """normalized, candidates and matches."""
     norm = cut(P.normalize_products(feed, listings, brands, **normalizing))
-    candidates = cut(P.blocking_pairs_multipass(norm, config.block_threshold, config.second_block_threshold, config.max_per_left, measure_tolerance=config.measure_tolerance, parse_units=config.parse_units))
+    kinds, members = P.kinds(norm, include_description=config.include_description)
+    pairs = cut(P.blocking_kinds_multipass(kinds, members, config.block_threshold, config.second_block_threshold, config.max_per_left, measure_tolerance=config.measure_tolerance, parse_units=config.parse_units))
+    candidates = P.of_products(pairs, members).select("left_key", "right_key", "brand_name_norm", "name_jaccard")
     score = {"fuzzy": P.fuzzy_matches, "tfidf": P.tfidf_matches}[config.scorer]
-    return {"normalized": norm, "candidates": candidates, "matches": score(norm, candidates, config.threshold, include_description=config.include_description)}
+    return {"normalized": norm, "candidates": candidates, "matches": P.matches_of_kinds(score, kinds, members, pairs, config.threshold, include_description=config.include_description)}
 
 
 def run(spark: SparkSession, feed: DataFrame, listings: DataFrame, brands: DataFrame | None, config: ProductConfig, out: str, **normalizing) -> dict:

@@ -238,6 +238,59 @@ def test_product_fuzzy_query_against_plain_scores(spark):
     assert sorted(found) == sorted(want) and want
 
 
+def repeated_parts(spark, folder, times):
+    """The smallest part table repeated with shifted keys."""
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    n = part.count()
+    part.crossJoin(spark.range(times).withColumnRenamed("id", "copy")).withColumn("p_partkey", F.col("p_partkey") + F.col("copy") * n).drop("copy").coalesce(1).write.parquet(f"{folder}/part.parquet")
+    return str(folder)
+
+
+def plain_blocks(known, threshold, top, rights):
+    found = []
+    for a in known:
+        if a["source"] == "listing":
+            x = set(a["product_name_norm"].split())
+            each = []
+            for b in rights:
+                y = set(b["product_name_norm"].split())
+                j = len(x & y) / len(x | y)
+                if a["brand_name_norm"] == b["brand_name_norm"] and j >= threshold:
+                    each.append((-j, b["product_key"]))
+            found += [(a["product_key"], k, -j) for j, k in sorted(each)[:top]]
+    return found
+
+
+def test_blocking_of_repeated_products_works_on_kinds(spark, tmp_path):
+    from linkloom import queries as Q
+
+    norm = Q.products(spark, repeated_parts(spark, tmp_path, 4)).cache()
+    known = norm.collect()
+    rights = [r for r in known if r["source"] == "feed"]
+    plain = lambda df: sorted((r["left_key"], r["right_key"], r["name_jaccard"]) for r in df.collect())
+    kinds, members = P.kinds(norm)
+    for top in (1, 3):  # fewer than there are, in the midst of kinds and of ties
+        want = plain_blocks(known, 0.35, top, rights)
+        assert plain(P.blocking_pairs(norm, 0.35, top)) == sorted(want)
+        pairs = P.blocking_kinds(kinds, members, 0.35, top)
+        assert pairs.count() < len(want)  # pairs of products aren't made before they are asked for
+        one = plain_blocks(known, 0.6, top, rights)
+        taken = {b for _, b, _ in one}
+        two = plain_blocks(known, 0.35, top, [r for r in rights if r["product_key"] not in taken])
+        assert plain(P.blocking_pairs_multipass(norm, 0.6, 0.35, top)) == sorted(one + two)
+
+
+def test_scores_of_kinds_are_those_of_products(spark, tmp_path):
+    from linkloom import queries as Q
+
+    norm = Q.products(spark, repeated_parts(spark, tmp_path, 4)).cache()
+    kinds, members = P.kinds(norm)
+    pairs, each = P.blocking_kinds(kinds, members, 0.2, 5).cache(), P.blocking_pairs(norm, 0.2, 5).cache()
+    for score, threshold in ((P.fuzzy_matches, [0.3]), (P.tfidf_matches, [0.1]), (P.exact_matches, [])):
+        want = rows(score(norm, each, *threshold))
+        assert rows(P.matches_of_kinds(score, kinds, members, pairs, *threshold)) == want and (want or score is P.exact_matches)
+
+
 def test_sources_read_back_what_was_written(spark, tmp_path):
     df = spark.createDataFrame([("1", "a", "left", "2025-01-01"), ("2", 'say "b", c', "right", "2025-01-02")], "category_id string, level_one string, source string, updated_at string")
     for s in ("left", "right"):
