@@ -6,6 +6,7 @@ import os
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,6 +239,33 @@ def test_product_fuzzy_query_against_plain_scores(spark):
     assert sorted(found) == sorted(want) and want
 
 
+def test_texts_of_a_batch_are_not_held_at_once():
+    import tracemalloc
+
+    texts = pa.array([None, "", *["é" * 4000 + str(k) for k in range(500)], None])
+    held, most = 0, 0
+
+    class Counted(str):
+        def __del__(self):
+            nonlocal held
+            held -= 1
+
+    def f(t):
+        nonlocal held, most
+        held += 1
+        most = max(most, held)
+        return Counted(t.upper())
+
+    assert T.each_text(f).func(texts).to_pylist() == [t and t.upper() for t in texts.to_pylist()] and most <= 2
+    assert T.each_text(f).func(texts.slice(1, 0)).to_pylist() == [] and T.each_text(f).func(texts.slice(501)).to_pylist() == ["É" * 4000 + "499", None]
+    for g in (T._decomposed.func, PF._to_ascii.func):
+        tracemalloc.start()
+        g(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 0.75 * texts.nbytes  # before, texts and results were Python strings as well
+
+
 def repeated_parts(spark, folder, times):
     """The smallest part table repeated with shifted keys."""
     part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
